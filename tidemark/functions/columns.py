@@ -67,28 +67,27 @@ def pad_left(arr, n: int, fill=PAD) -> Column:
 
 
 def safe_long(c, default=None) -> Column:
-    """tolerant integer parse ("None", blanks, junk -> default)."""
-    v = F.expr(f"try_cast(trim(cast({_name(c)} as string)) as double)")
-    out = F.when(F.isnan(v) | F.abs(v).isNull(), None).otherwise(v).cast("long")
-    return out if default is None else F.coalesce(out, F.lit(default).cast("long"))
+    """tolerant integer parse of text.  NULL, "None", blanks and anything
+    that is not an integer literal (e.g. "4.5") give ``default``."""
+    t = F.trim(_c(c).cast("string"))
+    v = F.when(t.rlike(r"^[+-]?[0-9]{1,18}$"), t.cast("long"))
+    return v if default is None else F.coalesce(v, F.lit(default).cast("long"))
 
 
 def safe_double(c, default=None) -> Column:
-    v = F.expr(f"try_cast(trim(cast({_name(c)} as string)) as double)")
+    """tolerant float parse of text ("None", junk -> ``default``)."""
+    t = F.trim(_c(c).cast("string"))
+    v = F.when(t.rlike(r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"), t.cast("double"))
     return v if default is None else F.coalesce(v, F.lit(float(default)))
 
 
-def _name(c) -> str:
-    if isinstance(c, str):
-        return f"`{c}`"
-    raise TypeError("pass a column name")
-
-
 def mask_secret(c) -> Column:
-    """F16: first two characters followed by '***' (short values: '***')."""
+    """F16: first two characters + '***'; up to two characters -> '***';
+    empty or NULL -> '(empty)'."""
     s = _c(c)
-    return F.when(s.isNull(), None).when(F.length(s) > 2, F.concat(F.substring(s, 1, 2), F.lit("***"))) \
-        .otherwise(F.lit("***"))
+    return (F.when(s.isNull() | (F.length(s) == 0), F.lit("(empty)"))
+             .when(F.length(s) > 2, F.concat(F.substring(s, 1, 2), F.lit("***")))
+             .otherwise(F.lit("***")))
 
 
 def hash64(*parts) -> Column:

@@ -25,7 +25,7 @@ def _movie_stats_sql():
         cols.append(f"count(*) OVER {frame} AS movie_rating_cnt_{d}d")
         cols.append(f"round(coalesce(avg(rating) OVER {frame}, 0.0), 6) AS movie_rating_avg_prev_rating_{d}d")
     return with_ctes(L_SQL, ITEMS_SQL, """B AS (
-  SELECT movieId, event_timestamp, arg_max(rating, userId) AS rating, epoch_ms(event_timestamp) AS ms
+  SELECT movieId, event_timestamp, arg_max(rating, userId) AS rating, (epoch_us(event_timestamp) // 1000) AS ms
   FROM L GROUP BY movieId, event_timestamp)""") + f"""
 SELECT B.movieId, B.event_timestamp, ITEMS.title, ITEMS.genres, {', '.join(cols)}
 FROM B LEFT JOIN ITEMS ON B.movieId = ITEMS.movieId"""

@@ -78,14 +78,14 @@ def tagged_splits(spark: SparkSession, sf_dir: str, days: int = 90):
 L_SQL = """L AS (
   SELECT o.o_custkey::BIGINT AS userId, li.l_partkey::BIGINT AS movieId,
          li.l_shipdate AS event_timestamp, max(li.l_quantity)::DOUBLE AS rating,
-         (epoch_ms(li.l_shipdate) // 1000)::BIGINT AS "timestamp"
+         ((epoch_us(li.l_shipdate) // 1000) // 1000)::BIGINT AS "timestamp"
   FROM lineitem li JOIN orders o ON li.l_orderkey = o.o_orderkey
   GROUP BY 1, 2, 3, 5)"""
 
 E_SQL = """E AS (
   SELECT user_id::BIGINT AS userId, (json_extract_string(props, '$.k'))::INTEGER::BIGINT AS movieId,
          value::DOUBLE AS rating, ts AS event_timestamp,
-         (epoch_ms(ts) // 1000)::BIGINT AS "timestamp"
+         ((epoch_us(ts) // 1000) // 1000)::BIGINT AS "timestamp"
   FROM events)"""
 
 EL_SQL = """EL AS (
