@@ -30,7 +30,7 @@ def duck(sf_dir):
 def _norm(v):
     import numpy as np
     import pandas as pd
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float) or isinstance(v, np.floating):
         if math.isnan(v):

@@ -41,54 +41,56 @@ def _range_stats(df: DataFrame, key: str, ms: str, value: str, windows, name) ->
     return df.select("*", *cols)
 
 
-def segmented_prefix(df: DataFrame, key: str, order_cols, values, num_partitions: int | None = None) -> DataFrame:
+def segmented_prefix(df: DataFrame, key: str, order_cols, values, chunk_width: int = DAY_MS) -> DataFrame:
     """Exclusive running totals of ``values`` per ``key`` in ``order_cols`` order.
 
-    Skew-safe segmented scan: (1) range-partition on (key, order) so a hot key
-    spans many partitions, (2) per-partition running sums (window keyed by the
-    partition id, no extra shuffle of the big side beyond the range exchange),
-    (3) per-(partition, key) totals -> offsets from earlier partitions (a small
-    aggregated table), (4) add offsets back.  Adds ``_cum_<v>`` columns holding
-    the total over strictly earlier rows of the same key.
+    Skew-safe segmented scan.  Rows are cut into deterministic segments
+    (key, floor(t / chunk_width)) where t = ``order_cols[0]`` (numeric time), so
+    a hot key is spread over many segments and tasks:
+    (1) running sums inside each segment (one hash exchange on (key, chunk)),
+    (2) one total per segment (same partitioning: no new exchange),
+    (3) offsets = totals of earlier segments of the key (a window over the
+        small per-segment table),
+    (4) offsets joined back on (key, chunk).
+    Segment ids depend only on the data, so a recomputed task after executor
+    loss yields identical ids.  Adds ``_cum_<v>`` = total over strictly
+    earlier rows of the same key.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = [F.col(c) for c in order_cols]
-    parted = (df.repartitionByRange(n, F.col(key), *ordered)
-                .withColumn("_pid", F.spark_partition_id()))
-    wg = Window.partitionBy("_pid", key)
+    chunked = df.withColumn("_chunk", F.floor(F.col(order_cols[0]) / F.lit(chunk_width)).cast("long"))
+    wg = Window.partitionBy(key, "_chunk")
     wl = wg.orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
-    local = parted.select("*", *[F.coalesce(F.sum(v).over(wl), F.lit(0)).alias(f"_loc_{v}") for v in values],
-                          *[F.sum(v).over(wg).alias(f"_tot_{v}") for v in values])
-    # one row per (partition, key): tiny next to the data, so the running
-    # offset over partitions is cheap even for a key spread over every task
-    tot = local.groupBy("_pid", key).agg(*[F.first(f"_tot_{v}").alias(f"_tot_{v}") for v in values])
-    wo = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("_pid", key, *[F.coalesce(F.sum(f"_tot_{v}").over(wo), F.lit(0)).alias(f"_off_{v}")
-                                     for v in values])
-    out = local.join(offs, ["_pid", key])
+    local = chunked.select("*", *[F.coalesce(F.sum(v).over(wl), F.lit(0)).alias(f"_loc_{v}") for v in values])
+    tot = chunked.groupBy(key, "_chunk").agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
+    wo = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(key, "_chunk", *[F.coalesce(F.sum(f"_tot_{v}").over(wo), F.lit(0)).alias(f"_off_{v}")
+                                       for v in values])
+    out = local.join(offs, [key, "_chunk"])
     return out.select(*[c for c in df.columns],
                       *[(F.col(f"_loc_{v}") + F.col(f"_off_{v}")).alias(f"_cum_{v}") for v in values])
 
 
-def _prefix_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, id_col: str) -> DataFrame:
+def _prefix_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, uniq) -> DataFrame:
     """Trailing count/sum as C(<t) - C(<t-w) with a merged probe stream.
 
     Each event emits one *real* row (count 1, value v) and one *probe* per
-    bound (t and t-w for every window).  Probes sort before real rows of the
-    same instant, so a probe's exclusive running total counts real rows
-    strictly earlier than its instant.  Values are summed as exact decimals so
-    the subtraction is exact.
+    bound (t and t-w for every window), identified by the event's unique key
+    columns ``uniq`` (deterministic, so recomputation after a lost executor
+    gives the same ids).  Probes sort before real rows of the same instant, so
+    a probe's exclusive running total counts real rows strictly earlier than
+    its instant.  Values are summed as exact decimals so differences are exact.
     """
     bounds = [("b0", F.col(ms))] + [(f"b{d}", F.col(ms) - F.lit(d * DAY_MS)) for d in windows]
+    rid = F.struct(*[F.col(c) for c in uniq])
     val = F.col(value).cast("decimal(38,6)")
-    real = df.select(F.col(key), F.col(ms).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_id"),
+    real = df.select(F.col(key), F.col(ms).alias("_t"), F.lit(1).alias("_kind"),
+                     F.lit(None).cast(df.select(rid.alias("x")).schema[0].dataType).alias("_id"),
                      F.lit(None).cast("string").alias("_b"), F.lit(1).cast("long").alias("c"), val.alias("s"))
-    probes = df.select(F.col(key), F.col(id_col).alias("_id"),
+    probes = df.select(F.col(key), rid.alias("_id"),
                        F.explode(F.array(*[F.struct(F.lit(b).alias("b"), e.alias("t")) for b, e in bounds])).alias("_p")) \
         .select(F.col(key), F.col("_p.t").alias("_t"), F.lit(0).alias("_kind"), "_id", F.col("_p.b").alias("_b"),
                 F.lit(0).cast("long").alias("c"), F.lit(0).cast("decimal(38,6)").alias("s"))
-    scan = segmented_prefix(real.unionByName(probes), key, ["_t", "_kind", "_id", "_b"], ["c", "s"])
+    scan = segmented_prefix(real.unionByName(probes), key, ["_t", "_kind"], ["c", "s"])
     got = scan.filter(F.col("_kind") == 0).groupBy("_id").pivot("_b", [b for b, _ in bounds]) \
         .agg(F.first("_cum_c").alias("c"), F.first("_cum_s").alias("s"))
     cols = []
@@ -97,19 +99,19 @@ def _prefix_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, i
         s = (F.col("b0_s") - F.col(f"b{d}_s")).cast("double")
         cols += [c.cast("long").alias(name("cnt", d)),
                  F.when(c > 0, s / c).otherwise(F.lit(0.0)).alias(name("avg", d))]
-    stats = got.select(F.col("_id").alias(id_col), *cols)
-    return df.join(stats, id_col)
+    stats = got.select(*[F.col(f"_id.{c}").alias(c) for c in uniq], *cols)
+    return df.join(stats, list(uniq))
 
 
 def trailing_stats(df: DataFrame, key: str, ts: str, value: str, windows, name,
-                   strategy: str = "range") -> DataFrame:
-    """Add trailing count/avg columns for each window (days) to ``df``."""
+                   strategy: str = "range", uniq=None) -> DataFrame:
+    """Add trailing count/avg columns for each window (days) to ``df``.
+    ``uniq``: columns unique per row (needed by the prefix strategy)."""
     base = df.withColumn("_ms", epoch_millis(ts))
     if strategy == "range":
         out = _range_stats(base, key, "_ms", value, windows, name)
     elif strategy == "prefix":
-        base = base.withColumn("_rid", F.monotonically_increasing_id())
-        out = _prefix_stats(base, key, "_ms", value, windows, name, "_rid").drop("_rid")
+        out = _prefix_stats(base, key, "_ms", value, windows, name, uniq or [key, ts])
     else:
         raise ValueError(strategy)
     return out.drop("_ms")
@@ -146,7 +148,8 @@ def user_rating_stats(events: DataFrame, user_col: str = "userId", item_col: str
         st = _range_stats(base, user_col, "_ms", rating_col, [window_days], name)
     else:
         st = trailing_stats(events.select(user_col, item_col, ts_col, rating_col), user_col, ts_col, rating_col,
-                            [window_days], name, strategy).withColumn("_ms", epoch_millis(ts_col))
+                            [window_days], name, strategy, uniq=[user_col, item_col, ts_col]) \
+            .withColumn("_ms", epoch_millis(ts_col))
     wr = Window.partitionBy(user_col).orderBy("_ms", item_col).rowsBetween(-seq_len, -1)
     prev = F.collect_list(F.struct(F.col("_ms").alias("ms"), F.col(item_col).alias("item"),
                                    F.col(ts_col).alias("ts"))).over(wr)
@@ -216,3 +219,32 @@ def point_in_time_join(left: DataFrame, right: DataFrame, by: str, on: str, ttl_
               <= F.lit(ttl_days * 86400.0)))
     return j.select(*[c for c in j.columns if c not in rcols and c != "__rts"],
                     *[F.when(fresh, F.col(c)).alias(c) for c in rcols])
+
+
+def collapse_user_stats(user_stats: DataFrame, user_col: str = "userId", ts_col: str = "event_timestamp",
+                        item_col: str = "movieId", mode: str = "compat") -> DataFrame:
+    """Q5: one user-stats row per (user, instant).  ``compat`` keeps the last
+    event of the instant (its recent list holds same-instant peers: the
+    reference behaviour); ``strict`` keeps the first (leak-free)."""
+    rest = [c for c in user_stats.columns if c not in (user_col, ts_col)]
+    pick = F.max_by if mode == "compat" else F.min_by
+    packed = pick(F.struct(*[F.col(c) for c in rest]), F.col(item_col))
+    return user_stats.groupBy(user_col, ts_col).agg(packed.alias("_v")).select(user_col, ts_col, "_v.*")
+
+
+def feature_join(events: DataFrame, movie_stats: DataFrame, user_stats: DataFrame,
+                 user_col: str = "userId", item_col: str = "movieId", ts_col: str = "event_timestamp",
+                 mode: str = "compat") -> DataFrame:
+    """Exact point-in-time m:1 joins on (item, instant) and (user, instant).
+    Both right sides are unique on their keys (J3 holds by construction)."""
+    us = collapse_user_stats(user_stats, user_col, ts_col, item_col, mode).drop(item_col)
+    return (events.join(movie_stats, [item_col, ts_col], "left")
+                  .join(us, [user_col, ts_col], "left"))
+
+
+def asof_dedup_fill(probes: DataFrame, right: DataFrame, by: str, on: str, fill_cols) -> DataFrame:
+    """As-of on the distinct probe keys only, join the result back to every
+    probe row (m:1) and fill unmatched numeric features with 0."""
+    keys = probes.select(by, on).dropDuplicates()
+    got = asof_backward(keys, right, by, on)
+    return probes.join(got, [by, on], "left").na.fill(0, subset=list(fill_cols))

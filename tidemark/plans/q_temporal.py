@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from ..operators import temporal as T
-from ..sources.adapters import ITEMS_SQL, L_SQL, interactions_L, items_part
+from ..sources.adapters import E_SQL, ITEMS_SQL, L_SQL, interactions_E, interactions_L, items_part, table
 from .registry import query, with_ctes
 
 WINDOWS = (90, 30, 7)
@@ -41,3 +41,220 @@ def movie_rating_stats(spark, sf_dir):
 def movie_rating_stats_prefix(spark, sf_dir):
     """W1 with the skew-safe prefix-difference strategy (same result)."""
     return _movie_stats(spark, sf_dir, "prefix")
+
+
+# ----------------------------------------------------------------- user windows
+
+def _bucket_sql(x: str) -> str:
+    edges = [600, 3600, 86400, 604800, 2592000, 31536000, 94608000, 157680000, 315360000]
+    return "CASE " + " ".join(f"WHEN {x} < {e} THEN {i}" for i, e in enumerate(edges)) + f" ELSE {len(edges)} END"
+
+
+def user_stats_sql(src: str = "L") -> str:
+    """DuckDB CTEs UB/US: one row per event of ``src`` with W2-W6 columns."""
+    fr = "(PARTITION BY userId ORDER BY ms RANGE BETWEEN 7776000000 PRECEDING AND 1 PRECEDING)"
+    rows = "(PARTITION BY userId ORDER BY ms, movieId ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)"
+    return f"""UB AS (
+  SELECT userId, movieId, event_timestamp, rating, (epoch_us(event_timestamp) // 1000) AS ms FROM {src}),
+UW AS (
+  SELECT *, count(*) OVER {fr} AS cnt, avg(rating) OVER {fr} AS av,
+         coalesce(list({{'ms': ms, 'item': movieId, 'ts': event_timestamp}}) OVER {rows}, []) AS prev
+  FROM UB),
+US AS (
+  SELECT userId, event_timestamp, movieId, cnt AS user_rating_cnt_90d,
+         round(coalesce(av, 0.0), 6) AS user_rating_avg_prev_rating_90d,
+         array_to_string(list_transform(prev, lambda x: x.item::VARCHAR), ',') AS user_rating_list_10_recent_movie,
+         array_to_string(list_transform(prev, lambda x: strftime(x.ts, '%Y-%m-%dT%H:%M:%S.%fZ')), ',')
+           AS user_rating_list_10_recent_movie_timestamp,
+         list_concat(list_transform(range(10 - len(prev)), lambda x: -1::BIGINT),
+                     list_transform(prev, lambda x: (x.ms // 1000)::BIGINT)) AS item_sequence_ts,
+         ms // 1000 AS cur_s
+  FROM UW),
+USB AS (
+  SELECT * EXCLUDE (cur_s),
+         list_transform(item_sequence_ts, lambda x: CASE WHEN x = -1 THEN -1 ELSE {_bucket_sql('cur_s - x')} END)
+           AS item_sequence_ts_bucket
+  FROM US)"""
+
+
+def _user_stats(spark, sf_dir):
+    df = T.user_rating_stats(interactions_L(spark, sf_dir))
+    return df.withColumn("user_rating_avg_prev_rating_90d", r6("user_rating_avg_prev_rating_90d"))
+
+
+_KEYS = "userId, movieId, event_timestamp"
+
+
+@query("user_rating_stats", with_ctes(L_SQL, user_stats_sql()) + f"""
+SELECT {_KEYS}, user_rating_cnt_90d, user_rating_avg_prev_rating_90d FROM USB""", "temporal")
+def user_rating_stats(spark, sf_dir):
+    """Per event, the user's 90-day trailing count/avg (peers excluded)."""
+    return _user_stats(spark, sf_dir).select(*_KEYS.split(", "), "user_rating_cnt_90d",
+                                             "user_rating_avg_prev_rating_90d")
+
+
+@query("user_recent10", with_ctes(L_SQL, user_stats_sql()) + f"""
+SELECT {_KEYS}, user_rating_list_10_recent_movie, user_rating_list_10_recent_movie_timestamp FROM USB""", "temporal")
+def user_recent10(spark, sf_dir):
+    """Previous 10 items and their ISO timestamps as comma lists."""
+    return _user_stats(spark, sf_dir).select(*_KEYS.split(", "), "user_rating_list_10_recent_movie",
+                                             "user_rating_list_10_recent_movie_timestamp")
+
+
+@query("item_sequence_ts", with_ctes(L_SQL, user_stats_sql()) + f"""
+SELECT {_KEYS}, item_sequence_ts FROM USB""", "temporal")
+def item_sequence_ts(spark, sf_dir):
+    """Left-padded length-10 epoch-second list of the previous events."""
+    return _user_stats(spark, sf_dir).select(*_KEYS.split(", "), "item_sequence_ts")
+
+
+@query("item_sequence_ts_bucket", with_ctes(L_SQL, user_stats_sql()) + f"""
+SELECT {_KEYS}, item_sequence_ts_bucket FROM USB""", "temporal")
+def item_sequence_ts_bucket(spark, sf_dir):
+    """Lag bucket of each previous event relative to the current one."""
+    return _user_stats(spark, sf_dir).select(*_KEYS.split(", "), "item_sequence_ts_bucket")
+
+
+@query("user_rating_stats_events", with_ctes(E_SQL.replace("value::DOUBLE", "value::DECIMAL(12,2)"),
+                                            user_stats_sql("E")) + f"""
+SELECT {_KEYS}, user_rating_cnt_90d, user_rating_avg_prev_rating_90d, user_rating_list_10_recent_movie,
+       user_rating_list_10_recent_movie_timestamp, item_sequence_ts, item_sequence_ts_bucket FROM USB""", "temporal")
+def user_rating_stats_events(spark, sf_dir):
+    """W2-W6 on the sub-second event stream (minute-scale lags, all buckets)."""
+    E = interactions_E(spark, sf_dir).withColumn("rating", F.col("rating").cast("decimal(12,2)"))
+    df = T.user_rating_stats(E)
+    return df.withColumn("user_rating_avg_prev_rating_90d", r6("user_rating_avg_prev_rating_90d"))
+
+
+@query("user_rating_stats_prefix", with_ctes(L_SQL, user_stats_sql()) + f"""
+SELECT {_KEYS}, user_rating_cnt_90d, user_rating_avg_prev_rating_90d FROM USB""", "temporal")
+def user_rating_stats_prefix(spark, sf_dir):
+    """W2 via the skew-safe prefix strategy (same result as the range frame)."""
+    df = T.user_rating_stats(interactions_L(spark, sf_dir), strategy="prefix")
+    return df.select(*_KEYS.split(", "), "user_rating_cnt_90d",
+                     r6("user_rating_avg_prev_rating_90d").alias("user_rating_avg_prev_rating_90d"))
+
+
+@query("time_bucket", with_ctes(L_SQL, E_SQL) + f"""
+SELECT 'L' AS src, userId, movieId, event_timestamp, lag_s, {_bucket_sql('lag_s')} AS bucket
+FROM (SELECT *, (SELECT max("timestamp") FROM L) - "timestamp" AS lag_s FROM L)
+UNION ALL
+SELECT 'E' AS src, userId, movieId, event_timestamp, lag_s, {_bucket_sql('lag_s')} AS bucket
+FROM (SELECT *, (SELECT max("timestamp") FROM E) - "timestamp" AS lag_s FROM E)""", "temporal")
+def time_bucket(spark, sf_dir):
+    """lag bucket of every event's age relative to its table's last event."""
+    from ..functions.columns import lag_bucket
+    from ..operators.prep import scalar
+    out = []
+    for src, df in (("L", interactions_L(spark, sf_dir)), ("E", interactions_E(spark, sf_dir))):
+        mx = scalar(df, F.max("timestamp"))
+        lag = (F.lit(mx) - F.col("timestamp")).alias("lag_s")
+        out.append(df.select(F.lit(src).alias("src"), "userId", "movieId", "event_timestamp", lag)
+                   .withColumn("bucket", lag_bucket("lag_s")))
+    return out[0].unionByName(out[1])
+
+
+@query("first_event_per_item", with_ctes(L_SQL) + """
+SELECT movieId, arg_min(userId, (event_timestamp, userId)) AS userId,
+       arg_min(rating, (event_timestamp, userId)) AS rating, min(event_timestamp) AS event_timestamp,
+       arg_min("timestamp", (event_timestamp, userId)) AS "timestamp"
+FROM L GROUP BY movieId""", "temporal")
+def first_event_per_item(spark, sf_dir):
+    """First event per item (earliest instant, then smallest user)."""
+    return T.first_event_per_item(interactions_L(spark, sf_dir))
+
+
+@query("busiest_user", with_ctes(L_SQL) + """
+SELECT arg_max(userId, (n, -userId)) AS userId, max(n) AS n_events
+FROM (SELECT userId, count(*) AS n FROM L GROUP BY userId)""", "temporal")
+def busiest_user(spark, sf_dir):
+    """The row holding the maximum (user with most events; ties -> smaller id)."""
+    c = interactions_L(spark, sf_dir).groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
+    return c.agg(F.max_by("userId", F.struct(F.col("n"), -F.col("userId"))).alias("userId"),
+                 F.max("n").alias("n_events"))
+
+
+# ----------------------------------------------------------------- joins on time
+
+def _movie_stats_cte(src: str = "L") -> str:
+    cols = []
+    for d in WINDOWS:
+        frame = f"(PARTITION BY MB.movieId ORDER BY MB.ms RANGE BETWEEN {d * 86400000} PRECEDING AND 1 PRECEDING)"
+        cols.append(f"count(*) OVER {frame} AS movie_rating_cnt_{d}d")
+        cols.append(f"round(coalesce(avg(rating) OVER {frame}, 0.0), 6) AS movie_rating_avg_prev_rating_{d}d")
+    return f"""MB AS (
+  SELECT movieId, event_timestamp, arg_max(rating, userId) AS rating, (epoch_us(event_timestamp) // 1000) AS ms
+  FROM {src} GROUP BY movieId, event_timestamp),
+MS AS (SELECT MB.movieId, MB.event_timestamp, {', '.join(cols)} FROM MB)"""
+
+
+STAT_COLS = [f"movie_rating_{k}_{d}d" if k == "cnt" else f"movie_rating_avg_prev_rating_{d}d"
+             for d in WINDOWS for k in ("cnt", "avg")]
+
+
+def _movie_stats_r6(spark, sf_dir):
+    ms = T.movie_rating_stats(interactions_L(spark, sf_dir))
+    return ms.select(*[r6(c).alias(c) if "_avg_" in c else F.col(c) for c in ms.columns])
+
+
+def _order_probes(spark, sf_dir):
+    """Probe rows: each line item asks for its part's stats as of the order date."""
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
+    od = table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    return li.join(od, li.l_orderkey == od.o_orderkey).select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("long").alias("movieId"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("event_timestamp"))
+
+
+_PROBES_SQL = """PR AS (
+  SELECT li.l_orderkey, li.l_linenumber, li.l_partkey::BIGINT AS movieId, o.o_orderdate AS event_timestamp
+  FROM lineitem li JOIN orders o ON li.l_orderkey = o.o_orderkey)"""
+
+
+@query("asof_backward", with_ctes(L_SQL, _movie_stats_cte(), _PROBES_SQL) + f"""
+SELECT PR.*, MS.event_timestamp AS stats_ts, {', '.join('MS.' + c for c in STAT_COLS)}
+FROM PR ASOF LEFT JOIN MS ON PR.movieId = MS.movieId AND PR.event_timestamp >= MS.event_timestamp""", "temporal")
+def asof_backward(spark, sf_dir):
+    """Part stats as of each order date (latest at-or-before; left join)."""
+    ms = _movie_stats_r6(spark, sf_dir)
+    return T.asof_backward(_order_probes(spark, sf_dir), ms, "movieId", "event_timestamp",
+                           keep_right_ts="stats_ts")
+
+
+@query("point_in_time_join", with_ctes(L_SQL, _movie_stats_cte(), _PROBES_SQL) + f"""
+SELECT PR.*, {', '.join(f"CASE WHEN MS.event_timestamp >= PR.event_timestamp - INTERVAL 60 DAY THEN MS.{c} END AS {c}"
+                         for c in STAT_COLS)}
+FROM PR ASOF LEFT JOIN MS ON PR.movieId = MS.movieId AND PR.event_timestamp >= MS.event_timestamp""", "temporal")
+def point_in_time_join(spark, sf_dir):
+    """As-of with a 60-day TTL: matches older than the TTL give NULL features."""
+    return T.point_in_time_join(_order_probes(spark, sf_dir), _movie_stats_r6(spark, sf_dir),
+                                "movieId", "event_timestamp", 60)
+
+
+@query("asof_dedup_fill", with_ctes(L_SQL, _movie_stats_cte(), _PROBES_SQL, """K AS (
+  SELECT DISTINCT movieId, event_timestamp FROM PR)""", f"""KA AS (
+  SELECT K.movieId, K.event_timestamp, {', '.join('MS.' + c for c in STAT_COLS)}
+  FROM K ASOF LEFT JOIN MS ON K.movieId = MS.movieId AND K.event_timestamp >= MS.event_timestamp)""") + f"""
+SELECT PR.*, {', '.join(f'coalesce(KA.{c}, 0) AS {c}' for c in STAT_COLS)}
+FROM PR LEFT JOIN KA ON PR.movieId = KA.movieId AND PR.event_timestamp = KA.event_timestamp""", "temporal")
+def asof_dedup_fill(spark, sf_dir):
+    """Distinct probe keys -> as-of -> join back -> cold items filled with 0."""
+    return T.asof_dedup_fill(_order_probes(spark, sf_dir), _movie_stats_r6(spark, sf_dir),
+                             "movieId", "event_timestamp", STAT_COLS)
+
+
+@query("feature_join", with_ctes(L_SQL, _movie_stats_cte(), user_stats_sql(), """UC AS (
+  SELECT userId, event_timestamp, arg_max(user_rating_cnt_90d, movieId) AS user_rating_cnt_90d,
+         arg_max(user_rating_avg_prev_rating_90d, movieId) AS user_rating_avg_prev_rating_90d,
+         arg_max(user_rating_list_10_recent_movie, movieId) AS user_rating_list_10_recent_movie
+  FROM USB GROUP BY userId, event_timestamp)""") + f"""
+SELECT L.userId, L.movieId, L.event_timestamp, L.rating, {', '.join('MS.' + c for c in STAT_COLS)},
+       UC.user_rating_cnt_90d, UC.user_rating_avg_prev_rating_90d, UC.user_rating_list_10_recent_movie
+FROM L LEFT JOIN MS ON L.movieId = MS.movieId AND L.event_timestamp = MS.event_timestamp
+LEFT JOIN UC ON L.userId = UC.userId AND L.event_timestamp = UC.event_timestamp""", "temporal")
+def feature_join(spark, sf_dir):
+    """J2 (+Q5 compat): exact m:1 joins of movie and user stats on (key, instant)."""
+    L = interactions_L(spark, sf_dir).select("userId", "movieId", "event_timestamp", "rating")
+    us = _user_stats(spark, sf_dir).select("userId", "movieId", "event_timestamp", "user_rating_cnt_90d",
+                                           "user_rating_avg_prev_rating_90d", "user_rating_list_10_recent_movie")
+    return T.feature_join(L, _movie_stats_r6(spark, sf_dir), us)
