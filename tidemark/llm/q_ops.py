@@ -3,7 +3,7 @@ parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import quality
+from . import neardup, quality
 from .common import table
 
 
@@ -12,5 +12,10 @@ def op1_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_quality": op1_quality}
+def op3_neardup(spark, sf_dir):
+    """doc_id, class_id, class_size of every document."""
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_quality": op1_quality, "op3_neardup": op3_neardup}
 SQL: dict[str, str] = {}
