@@ -3,7 +3,7 @@ parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import neardup, quality
+from . import decontaminate, neardup, quality
 from .common import table
 
 
@@ -17,5 +17,10 @@ def op3_neardup(spark, sf_dir):
     return neardup.classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op3_neardup": op3_neardup}
+def op10_decontaminate(spark, sf_dir):
+    """doc_id, item_id, containment of every document that holds a benchmark item."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {"op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate}
 SQL: dict[str, str] = {}
