@@ -3,7 +3,7 @@ parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import decontaminate, neardup, quality
+from . import decontaminate, neardup, quality, secrets
 from .common import table
 
 
@@ -22,5 +22,10 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate}
+def op9_secrets(spark, sf_dir):
+    """Counts, digest and spans of the secrets of every document."""
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
 SQL: dict[str, str] = {}
