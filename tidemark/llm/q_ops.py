@@ -3,7 +3,7 @@ parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import decontaminate, neardup, quality, secrets
+from . import decontaminate, mixing, neardup, quality, secrets
 from .common import table
 
 
@@ -27,5 +27,10 @@ def op9_secrets(spark, sf_dir):
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
-SQL: dict[str, str] = {}
+def op4_mix(spark, sf_dir):
+    """The documents that fill the budgets of the domain-language-source tree."""
+    return mixing.production(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
+SQL = {"op4_mix": mixing.oracle_sql()}
