@@ -12,17 +12,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage by a compressed table written in the shared folder."""
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """Cut the lineage by a compressed table written in the shared folder that
+    ``spark.checkpoint.dir`` names.  Unlike a checkpoint its size is known to
+    the planner; estimates carried from round to round of a loop would square."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables written by ``stored`` that nothing reads any more."""
+    for df in frames:
+        jvm, path = df.sparkSession._jvm, df._stored_at
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def fold(doc_id: str, modulus: int) -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import discard, stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -21,16 +21,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     is split by adaptive execution.
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u <> v")
-    both = cut(e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = cut(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"))
+    both = stored(e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    labels = stored(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"))
                  .select("node", F.least("node", "m").alias("comp")))
     while True:
-        near = (both.join(labels, both.v == labels.node).groupBy("u").agg(F.min("comp").alias("m")))
-        low = (labels.join(near, labels.node == near.u, "left")
+        near = (both.join(labels, F.col("v") == F.col("node")).groupBy("u").agg(F.min("comp").alias("m")))
+        low = (labels.join(near, F.col("node") == F.col("u"), "left")
                .select("node", F.least("comp", "m").alias("comp"), F.col("comp").alias("was")))
         up = low.select(F.col("node").alias("p"), F.col("comp").alias("pc"))
-        new = cut(low.join(up, low.comp == up.p, "left")
+        new = stored(low.join(up, F.col("comp") == F.col("p"), "left")
                   .select("node", F.least("comp", "pc").alias("comp"), "was"))
-        if new.where("comp <> was").limit(1).count() == 0:
-            return new.select("node", "comp")
-        labels = new.select("node", "comp")
+        done = new.where("comp <> was").limit(1).count() == 0
+        discard(labels)
+        if done:
+            discard(both)
+            return new.drop("was")
+        labels = new

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fingerprint, stored
+from .common import fingerprint, stored
 from .textblocks import blocks, mix, shingles, word_hashes, word_spans
 
 BINS = 64
@@ -104,7 +104,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text
                  item_id: str = "item_id", item_text: str = "text", threshold: float = 0.8) -> DataFrame:
     """(fp, item_id, containment): fingerprints of document texts and the items
     they hold, with the share of the item's distinct shingles found."""
-    items = cut(_items(bench, item_id, item_text))
+    items = stored(_items(bench, item_id, item_text))
     classes = sorted(r["u"] for r in items.select("u").distinct().collect())  # a few powers of two
     if not classes:
         return _none(docs, items)
@@ -141,7 +141,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text
 
     texts = docs.select(fingerprint(F.col(text).cast("string")).alias("fp"), F.lower(F.col(text).cast("string")).alias("text")).where("text is not null")
     found = texts.mapInArrow(hits, "fp binary, k long").distinct()
-    cand = cut(found.join(items.select("item_id", F.explode("keys").alias("k")).distinct(), "k").select("fp", "item_id").distinct())
+    cand = stored(found.join(items.select("item_id", F.explode("keys").alias("k")).distinct(), "k").select("fp", "item_id").distinct())
 
     def shingle_rows(batches):
         for b in batches:
@@ -167,13 +167,13 @@ def _none(docs: DataFrame, items: DataFrame) -> DataFrame:
 def report(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
     """(doc_id, item_id, containment) for each contaminated row of ``docs`` and
     each item it holds."""
-    hit = cut(contaminated(docs, bench, doc_id, text, threshold=threshold))
+    hit = stored(contaminated(docs, bench, doc_id, text, threshold=threshold))
     rows = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text).cast("string")).alias("fp"))
     return rows.join(hit, "fp").select("doc_id", "item_id", "containment")
 
 
 def clean(docs: DataFrame, bench: DataFrame, text: str = "text", threshold: float = 0.8) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item."""
-    hit = cut(contaminated(docs, bench, text=text, threshold=threshold)).select(F.col("fp").alias("_hit")).distinct()
+    hit = stored(contaminated(docs, bench, text=text, threshold=threshold)).select(F.col("fp").alias("_hit")).distinct()
     own = fingerprint(F.col(text).cast("string"))
     return docs.join(hit, own == F.col("_hit"), "left_anti")

@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, stored
+from .common import fingerprint, stored
 
 EPOCHS = 2
 
@@ -108,8 +108,8 @@ def mix(docs: DataFrame, levels: list[str], weights: dict[str, DataFrame], fract
     of ``fraction`` of all tokens, with ``epoch`` and ``tokens_before``."""
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("(null)")).alias(c) if c in levels else F.col(c) for c in docs.columns])
     sizes = docs.groupBy(*levels).agg(F.sum("n_tokens").cast("long").alias("total"), F.count("*").alias("n"))
-    leaves = cut(sizes.withColumn("cap", F.col("total") * epochs))
-    got = cut(budgets(leaves, levels, weights, F.floor(F.col("cap") * F.lit(fraction) / epochs)))
+    leaves = stored(sizes.withColumn("cap", F.col("total") * epochs))
+    got = stored(budgets(leaves, levels, weights, F.floor(F.col("cap") * F.lit(fraction) / epochs)))
     return select_prefix(docs, got, levels, [F.col(key)], seed, epochs)
 
 
@@ -156,3 +156,27 @@ def production(spark, docs: DataFrame, fraction: float = 0.5) -> DataFrame:
     src = src.withColumn("domain", F.coalesce("domain", F.lit("d0")))
     return mix(stored(src, "mix-sizes"), LEVELS, {"domain": weight_rows(spark, "domain", DOMAIN_WEIGHTS),
                                                   "lang": weight_rows(spark, "lang", LANG_WEIGHTS)}, fraction)
+
+
+def drawn(spark, docs: DataFrame, fraction: float = 0.5) -> DataFrame:
+    """``docs``, all columns, as drawn by the mix, with ``domain``, ``n_tokens``,
+    ``epoch`` and ``tokens_before``.  The draw works on sizes alone; texts are
+    joined to it by id and fingerprint at the end."""
+    own = fingerprint(F.col("text").cast("string"))
+    src = docs.select(F.coalesce(domain(F.col("source").cast("string")), F.lit("d0")).alias("domain"), "lang", "source", "doc_id",
+                      own.alias("__fp"), tokens(F.col("text").cast("string")).alias("n_tokens")).where("n_tokens > 0")
+    chosen = mix(stored(src, "mix-sizes"), LEVELS, {"domain": weight_rows(spark, "domain", DOMAIN_WEIGHTS),
+                                                    "lang": weight_rows(spark, "lang", LANG_WEIGHTS)}, fraction)
+    # Rows of equal id, text and leaf are alike: each is numbered, on both sides.
+    names = {c: F.col(c).alias(f"__{c}") for c in ("lang", "source")}
+    alike = Window.partitionBy("__fp", "doc_id", "lang", "source", "epoch").orderBy("tokens_before")
+    chosen = chosen.withColumn("__i", F.row_number().over(alike)).select("domain", "n_tokens", "epoch", "tokens_before", "__i", "__fp",
+                                                                         F.col("doc_id").alias("__id"), *names.values())
+    keys = [F.col("__own"), F.col("doc_id"), F.col("lang"), F.col("source")]
+    rows = docs.withColumn("__own", own).withColumn("__j", F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id")))
+    null = F.lit("(null)")
+    on = ((F.col("__own") == F.col("__fp")) & (F.col("__i") == F.col("__j")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+          & (F.coalesce(F.col("lang").cast("string"), null) == F.col("__lang"))
+          & (F.coalesce(F.col("source").cast("string"), null) == F.col("__source")))
+    extra = ["domain", "n_tokens", "epoch", "tokens_before"]
+    return rows.join(chosen, on).select(*[F.col(c) for c in docs.columns if c not in extra], *extra)

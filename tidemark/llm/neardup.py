@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fingerprint, stored
+from .common import fingerprint, stored
 from .components import components
 from .textblocks import blocks, counted, mix, shingles, unit, word_hashes, word_spans
 
@@ -144,39 +144,39 @@ def _pairs(member: DataFrame, threshold: float) -> DataFrame:
     return m.select(F.least("fp", "head.fp").alias("a"), F.greatest("fp", "head.fp").alias("b")).distinct()
 
 
-def links(texts: DataFrame, threshold: float = 0.8, salt_rows: int = 1000) -> DataFrame:
+def links(texts: DataFrame, threshold: float = 0.8, near: int = 4, salt_rows: int = 1000) -> DataFrame:
     """Verified links (a, b) that connect the distinct texts of (fp, text) rows,
     without the pairs of all members of a band's group.
 
     Every member of a band's group is compared with the least member.  While
     several components still meet in a group, the members of each are compared
-    with the least member of the next component there, in an order that
-    changes with the round, until a round adds no link.  So a round costs a
-    pair for each member at most, and no pair is compared twice.  Groups are
-    ordered in salted runs of about ``salt_rows`` components.
+    with the least members of the ``near`` components before it and after it
+    there, in an order that changes with the round, until a round adds no link.
+    So a round costs a bounded number of pairs for each member, and no pair is
+    compared twice.  Groups are ordered in salted runs of about ``salt_rows``
+    components.
     """
     sigs = signatures(texts).dropDuplicates(["fp"])
     each = sigs.select("fp", "n", F.explode("bands").alias("band"))
     many = (each.groupBy("band").agg(F.min(F.struct("fp", "n")).alias("head"), F.count("*").alias("m"))
             .where("m > 1").select("band", "head"))
-    groups = cut(each.join(many, "band"))
-    tested = cut(_pairs(groups, threshold))
-    found = cut(verified(tested, texts, threshold))
+    groups = stored(each.join(many, "band"))
+    tested = stored(_pairs(groups, threshold))
+    found = stored(verified(tested, texts, threshold))
     turn = 0
     while True:
         turn += 1
         of = (groups.select("band", "fp", "n").join(components(found), F.col("fp") == F.col("node"), "left")
               .select("band", "fp", "n", F.coalesce("comp", "fp").alias("comp")))
-        heads = cut(of.groupBy("band", "comp").agg(F.min(F.struct("fp", "n")).alias("own")))
+        heads = stored(of.groupBy("band", "comp").agg(F.min(F.struct("fp", "n")).alias("own")))
         mixed = heads.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
         heads = heads.join(mixed, "band").withColumn(
             "salt", F.pmod(F.xxhash64("comp", F.lit(turn)), F.ceil(F.col("c") / salt_rows)))
-        order = F.xxhash64("comp", F.lit(-turn))
-        run = Window.partitionBy("band", "salt")
-        heads = heads.select("band", "comp", F.coalesce(F.lead("own").over(run.orderBy(order, "comp")),
-                                                        F.min_by("own", F.struct(order, "comp")).over(run)).alias("head"))
-        new = cut(_pairs(of.join(heads, ["band", "comp"]), threshold).join(tested, ["a", "b"], "left_anti"))
-        more = cut(verified(new, texts, threshold))
+        run = Window.partitionBy("band", "salt").orderBy(F.xxhash64("comp", F.lit(-turn)), "comp")
+        beside = F.array_compact(F.array(*[f("own", d).over(run) for f in (F.lead, F.lag) for d in range(1, near + 1)]))
+        heads = heads.withColumn("heads", beside).select("band", "comp", F.explode("heads").alias("head"))
+        new = stored(_pairs(of.join(heads, ["band", "comp"]), threshold).join(tested, ["a", "b"], "left_anti"))
+        more = stored(verified(new, texts, threshold))
         if more.limit(1).count() == 0:
             return found
         tested, found = tested.union(new), found.union(more)
@@ -191,7 +191,28 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     rows = base.select("doc_id", F.when(~F.col("text").rlike(spaces), fingerprint(F.col("text"))).alias("fp"))
     named = (rows.join(comp, rows.fp == comp.node, "left")
              .select("doc_id", F.coalesce("comp", "fp").alias("comp")))
-    named = cut(named)
+    named = stored(named)
     of = (named.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")))
     have = named.where("comp is not null").join(of, "comp").select("doc_id", "class_id", "class_size")
     return have.unionByName(named.where("comp is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest id (null ids
+    last), of equal ids that of the smallest text fingerprint.  Rows whose text
+    has no word are all kept."""
+    own = fingerprint(F.col(text).cast("string"))
+    base = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), own.alias("fp"))
+    comp = components(links(base.where("text is not null").select("fp", "text"), threshold))
+    ids = base.where(F.col("text").rlike("[^ \\t\\n\\x0B\\f\\r]")).groupBy("fp", "id").agg(F.count("*").alias("n"))
+    ids = stored(ids.join(comp, ids.fp == comp.node, "left").select("fp", "id", "n", F.coalesce("comp", "fp").alias("comp")))
+    best = (ids.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("fp"))).alias("k"), F.sum("n").alias("rows"))
+            .where("rows > 1").select("comp", F.col("k.id").alias("__keep_id"), F.col("k.fp").alias("__keep_fp")))
+    # One row for each text of a class of several rows; `n` rows hold the kept id and text.
+    group = (ids.join(best, "comp").groupBy(F.col("fp").alias("__fp"), "__keep_id", "__keep_fp")
+             .agg(F.sum(F.when(F.col("id").eqNullSafe(F.col("__keep_id")) & (F.col("fp") == F.col("__keep_fp")), F.col("n")).otherwise(0)).alias("__n")))
+    rows = docs.withColumn("__own", own).join(group, F.col("__own") == F.col("__fp"), "left")
+    kept = rows.where(F.col("__n").isNull() | ((F.col("__n") > 0) & F.col(doc_id).eqNullSafe(F.col("__keep_id"))))
+    single = kept.where("__n is null or __n = 1").select(*docs.columns)
+    copies = kept.where("__n > 1").dropDuplicates(["__fp"]).select(*docs.columns)
+    return single.unionByName(copies)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import fingerprint, stored
 
 _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
@@ -136,3 +136,23 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: i
     n = lambda k: F.size(F.filter("base", lambda p: p.k == k)).cast("long")
     return f.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
                     F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+def redact(docs: DataFrame, text: str = "text", size: str | None = "n_chars", mark: str = "[SECRET]", reach: int = 200) -> DataFrame:
+    """``docs`` with each span (or overlapping run of spans) of every text
+    replaced by ``mark``; ``size``, if it is a column, is the length of changed
+    texts.  Texts are joined to their spans by fingerprint; other rows pass."""
+    own = fingerprint(F.col(text).cast("string"))
+    found = scan(docs.select(own.alias("doc_id"), F.col(text).alias("text")), reach=reach).where(F.size("spans") > 0)
+    found = stored(found.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("__fp"), F.col("spans").alias("__spans")))
+    rows = docs.withColumn("__own", own).join(found, F.col("__own") == F.col("__fp"), "left")
+    t = F.col(text).cast("string")
+    zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("pos"))
+    step = lambda a, p: F.when(p.s >= a.pos, F.struct(F.concat(a.out, F.substr(t, a.pos + 1, p.s - a.pos), F.lit(mark)).alias("out"), p.e.alias("pos"))) \
+        .otherwise(F.struct(a.out.alias("out"), F.greatest(a.pos, p.e).alias("pos")))
+    clean = F.aggregate("__spans", zero, step, lambda a: F.concat(a.out, F.substr(t, a.pos + 1, F.length(t).cast("long"))))
+    new = F.when(F.col("__spans").isNull(), t).otherwise(clean)
+    cols = [new.alias(c) if c == text else
+            F.when(F.col("__spans").isNull(), F.col(c)).otherwise(F.length(new)).cast(docs.schema[c].dataType).alias(c) if c == size else F.col(c)
+            for c in docs.columns]
+    return rows.select(*cols)
