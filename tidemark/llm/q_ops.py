@@ -3,7 +3,7 @@ parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, neardup, quality, secrets
+from . import decontaminate, mixing, neardup, quality, secrets, tokencount
 from .common import table
 
 
@@ -32,5 +32,11 @@ def op4_mix(spark, sf_dir):
     return mixing.production(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
+def op7_tokens(spark, sf_dir, name="byte_bpe_50k.json"):
+    """Token counts of every document by the public byte-level BPE."""
+    import public_tokenizers
+    return tokencount.report(table(spark, sf_dir, "documents"), public_tokenizers.path(name))
+
+
+QUERIES = {"op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
 SQL = {"op4_mix": mixing.oracle_sql()}
