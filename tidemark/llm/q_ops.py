@@ -3,7 +3,7 @@ parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, neardup, quality, secrets, tokencount
+from . import decontaminate, mixing, neardup, pii, quality, secrets, tokencount
 from .common import table
 
 
@@ -38,5 +38,10 @@ def op7_tokens(spark, sf_dir, name="byte_bpe_50k.json"):
     return tokencount.report(table(spark, sf_dir, "documents"), public_tokenizers.path(name))
 
 
-QUERIES = {"op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
+def op8_pii(spark, sf_dir):
+    """Counts, digest and spans of the personal data of every document."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
 SQL = {"op4_mix": mixing.oracle_sql()}
