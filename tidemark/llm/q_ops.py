@@ -3,7 +3,7 @@ parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, neardup, pii, quality, secrets, tokencount
+from . import decontaminate, mixing, neardup, pii, ppm, quality, secrets, tokencount
 from .common import table
 
 
@@ -43,5 +43,10 @@ def op8_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
+def op2_ppm(spark, sf_dir):
+    """Base and model log10 probabilities of every document."""
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op2_ppm": op2_ppm, "op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
 SQL = {"op4_mix": mixing.oracle_sql()}
