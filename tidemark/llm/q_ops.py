@@ -3,7 +3,9 @@ parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, neardup, pii, ppm, quality, secrets, tokencount
+from pyspark.sql import functions as F
+
+from . import decontaminate, mixing, neardup, pii, ppm, quality, secrets, tokencount, topk
 from .common import table
 
 
@@ -48,5 +50,10 @@ def op2_ppm(spark, sf_dir):
     return ppm.score(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_ppm": op2_ppm, "op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
-SQL = {"op4_mix": mixing.oracle_sql()}
+def op6_topk(spark, sf_dir):
+    """The 20 greatest integer inner products of every 20th vector."""
+    return topk.topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {"op6_topk": op6_topk, "op2_ppm": op2_ppm, "op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
+SQL = {"op4_mix": mixing.oracle_sql(), "op6_topk": topk.oracle_sql()}
