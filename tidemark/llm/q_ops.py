@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, neardup, pii, ppm, quality, secrets, tokencount, topk
+from . import decontaminate, mixing, neardup, passages, pii, ppm, quality, secrets, tokencount, topk
 from .common import table
 
 
@@ -55,5 +55,10 @@ def op6_topk(spark, sf_dir):
     return topk.topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = {"op6_topk": op6_topk, "op2_ppm": op2_ppm, "op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
+def op5_passages(spark, sf_dir):
+    """The passages of 50 words or more that repeat across documents."""
+    return passages.repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op5_passages": op5_passages, "op6_topk": op6_topk, "op2_ppm": op2_ppm, "op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
 SQL = {"op4_mix": mixing.oracle_sql(), "op6_topk": topk.oracle_sql()}
