@@ -19,7 +19,7 @@ HEADLINE = [
     "movie_rating_stats", "movie_rating_stats_prefix", "user_rating_stats", "asof_backward",
     "kcore", "negative_samples", "item_sequences", "skipgram_pairs", "title_tfidf",
     "cosine_topk", "recommend_all_items", "two_stage_recommend", "classification_metrics",
-    "personalization_jaccard", "stream_user_sequence",
+    "stream_user_sequence",
 ]
 
 
@@ -33,7 +33,9 @@ def main():
     spark = build_session(f"local[{cpus}]", app="tidemark-bench",
                           shuffle_partitions=max(8, 2 * int(cpus)))
     qs = load_all()
-    names = [n for n in (only or HEADLINE) if n in qs]
+    names = only or HEADLINE
+    if unknown := [n for n in names if n not in qs]:
+        raise SystemExit(f"unknown queries: {unknown}")
 
     def run(name):
         t0 = time.time()

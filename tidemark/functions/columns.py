@@ -67,13 +67,21 @@ def pad_left(arr, n: int, fill=PAD) -> Column:
 
 
 def safe_long(c, default=None) -> Column:
-    """tolerant integer parse of text.  NULL, "None", blanks and anything
-    that is not an integer literal (e.g. "4.5") give ``default``."""
+    """tolerant integer parse of text.  NULL, "None", blanks, anything
+    that is not an integer literal (e.g. "4.5") and integers beyond a long
+    give ``default``.  For numeric input see :func:`integral`."""
     t = F.trim(_c(c).cast("string"))
-    v = F.when(t.rlike(r"^[+-]?[0-9]{1,18}$"), t.cast("long"))
+    v = F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("long"))
     return v if default is None else F.coalesce(v, F.lit(default).cast("long"))
 
 
+def integral(c) -> Column:
+    """F12 for a numeric column: its value as a long where it is a whole number
+    within a long, else NULL."""
+    x = _c(c)
+    return F.when(x == F.floor(x), x.try_cast("long"))
+
+
 def safe_double(c, default=None) -> Column:
     """tolerant float parse of text ("None", junk -> ``default``)."""
     t = F.trim(_c(c).cast("string"))
@@ -91,15 +99,15 @@ def mask_secret(c) -> Column:
 
 
 def hash64(*parts) -> Column:
-    """Deterministic 32-bit keyed hash as BIGINT: first 8 hex digits of
+    """Deterministic 60-bit keyed hash as BIGINT: first 15 hex digits of
     md5('p1|p2|..').  Partition-independent and reproducible in SQL."""
     text = F.concat_ws("|", *[_c(p).cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def hash_uniform(*parts) -> Column:
     """u in (0, 1) from :func:`hash64`."""
-    return (hash64(*parts) + F.lit(0.5)) / F.lit(4294967296.0)
+    return (hash64(*parts).cast("double") + F.lit(0.5)) / F.lit(float(1 << 60))
 
 
 def iso_micros(ts) -> Column:
@@ -129,11 +137,6 @@ def csv_tokens(c) -> Column:
     return F.filter(F.split(F.coalesce(_c(c), F.lit("")), ","), lambda x: F.trim(x) != "")
 
 
-def genre_tokens(c) -> Column:
-    """pipe-delimited genres -> lower-cased tokens."""
-    return F.filter(F.split(F.lower(F.coalesce(_c(c), F.lit(""))), r"\|"), lambda x: x != "")
-
-
 def r6(c) -> Column:
     """Round to 6 decimals (the precision all float results are compared at)."""
     return F.round(_c(c).cast("double"), 6)

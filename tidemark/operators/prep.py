@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import epoch_millis, from_epoch_seconds, hash64, safe_double, safe_long
+from ..functions.columns import epoch_millis, from_epoch_seconds, hash64, integral, safe_double, safe_long
 from ..session import checkpoint_dir
 
 TS_NAME_CANDIDATES = ["timestamp", "time", "ts", "created_at", "created", "date", "datetime"]  # fixed values
@@ -68,8 +68,10 @@ def parse_dt(df: DataFrame, cols=None) -> DataFrame:
 
 
 def standardize_dtypes(df: DataFrame, user="userId", item="movieId", rating="rating", ts="timestamp") -> DataFrame:
-    """Coerce the four interaction columns (missing -> NULL), numeric
-    timestamps are epoch seconds, text is parsed; rows with any NULL dropped."""
+    """Coerce the four interaction columns (missing -> NULL): ids held as
+    numbers count where they are whole, ids held as text where they are integer
+    literals; numeric timestamps are epoch seconds, text is parsed; rows with
+    any NULL dropped."""
     for c in (user, item, rating, ts):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
@@ -80,8 +82,11 @@ def standardize_dtypes(df: DataFrame, user="userId", item="movieId", rating="rat
         tcol = F.col(ts).cast("timestamp_ntz")
     else:
         tcol = F.expr(f"try_to_timestamp(cast(`{ts}` as string))").cast("timestamp_ntz")
-    out = df.select(safe_long(user).alias(user), safe_long(item).alias(item),
-                    safe_double(rating).alias(rating), tcol.alias(ts))
+    number = (T.NumericType,)
+    whole = lambda c: (integral if isinstance(df.schema[c].dataType, number) else safe_long)(c).alias(c)
+    value = (F.col(rating).cast("double").alias(rating) if isinstance(df.schema[rating].dataType, number)
+             else safe_double(rating).alias(rating))
+    out = df.select(whole(user), whole(item), value, tcol.alias(ts))
     return out.na.drop(subset=[user, item, rating, ts])
 
 
@@ -169,31 +174,33 @@ def dedup(df: DataFrame, keys, order, keep: str = "first") -> DataFrame:
 
 
 def kcore(df: DataFrame, user="userId", item="movieId", min_user: int = 5, min_item: int = 5,
-          max_rounds: int = 20, checkpoint: bool = True) -> DataFrame:
+          max_rounds: int | None = None) -> DataFrame:
     """Iterated k-core.  Each round keeps rows whose user has >= min_user
     rows and whose item has >= min_item rows, both counted on the same
-    snapshot; stops when a round removes nothing or after ``max_rounds``.
+    snapshot, until a round removes nothing.  ``max_rounds`` bounds the rounds;
+    a run that has not converged by then raises.
 
     Counts are partial hash aggregates (one row per user / item shuffled);
     the keep-lists are applied with semi joins, which AQE turns into
     broadcast joins when the list is small.  Lineage is cut each round with a
     reliable checkpoint in the shared ``spark.checkpoint.dir``."""
-    if checkpoint:
-        checkpoint_dir(df.sparkSession)
-    cur = df
+    checkpoint_dir(df.sparkSession)
+    cur = df.checkpoint(eager=True)
     n = cur.count()
-    for _ in range(max_rounds):
+    rounds = 0
+    while True:
+        rounds += 1
+        if max_rounds is not None and rounds > max_rounds:
+            raise RuntimeError(f"k-core: no fixpoint after {max_rounds} rounds")
         keep_u = cur.groupBy(user).count().filter(F.col("count") >= min_user).select(user)
         keep_i = cur.groupBy(item).count().filter(F.col("count") >= min_item).select(item)
         nxt = cur.join(keep_u, user, "left_semi").join(keep_i, item, "left_semi")
-        if checkpoint:
-            nxt = nxt.checkpoint(eager=True)
+        nxt = nxt.checkpoint(eager=True)
         m = nxt.count()
         cur = nxt
         if m == n:
-            break
+            return cur
         n = m
-    return cur
 
 
 # ------------------------------------------------------------------ profiling
@@ -218,7 +225,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     for i, (c, t) in enumerate(df.dtypes):
         parts.append(F.struct(F.lit(c).alias("column"), F.lit(t).alias("dtype"), F.col(f"_z{i}").alias("n_null"),
                               F.round(F.col(f"_z{i}") * 100.0 / F.col("_n"), 2).alias("pct_null"),
-                              F.col(f"_u{i}").alias("n_unique"), F.coalesce(F.substring(f"_s{i}", 1, 60), F.lit(""))
+                              F.col(f"_u{i}").alias("n_unique"), F.coalesce(F.col(f"_s{i}"), F.lit(""))
                               .alias("sample")))
     return wide.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.columns import (PAD, bucket_list, epoch_millis, iso_micros,
                                  pad_left)
@@ -78,18 +79,22 @@ def _prefix_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, u
     columns ``uniq`` (deterministic, so recomputation after a lost executor
     gives the same ids).  Probes sort before real rows of the same instant, so
     a probe's exclusive running total counts real rows strictly earlier than
-    its instant.  Values are summed as exact decimals so differences are exact.
+    its instant.  Values are summed as exact decimals (18 places for floating
+    columns, else the column's own type) so differences are exact; rows without
+    a value count for nothing, as in the range strategy.
     """
     bounds = [("b0", F.col(ms))] + [(f"b{d}", F.col(ms) - F.lit(d * DAY_MS)) for d in windows]
     rid = F.struct(*[F.col(c) for c in uniq])
-    val = F.col(value).cast("decimal(38,6)")
+    kind = df.schema[value].dataType
+    exact = "decimal(38,18)" if isinstance(kind, (FloatType, DoubleType)) else kind.simpleString()
+    val = F.coalesce(F.col(value), F.lit(0)).cast(exact)
     real = df.select(F.col(key), F.col(ms).alias("_t"), F.lit(1).alias("_kind"),
                      F.lit(None).cast(df.select(rid.alias("x")).schema[0].dataType).alias("_id"),
-                     F.lit(None).cast("string").alias("_b"), F.lit(1).cast("long").alias("c"), val.alias("s"))
+                     F.lit(None).cast("string").alias("_b"), F.col(value).isNotNull().cast("long").alias("c"), val.alias("s"))
     probes = df.select(F.col(key), rid.alias("_id"),
                        F.explode(F.array(*[F.struct(F.lit(b).alias("b"), e.alias("t")) for b, e in bounds])).alias("_p")) \
         .select(F.col(key), F.col("_p.t").alias("_t"), F.lit(0).alias("_kind"), "_id", F.col("_p.b").alias("_b"),
-                F.lit(0).cast("long").alias("c"), F.lit(0).cast("decimal(38,6)").alias("s"))
+                F.lit(0).cast("long").alias("c"), F.lit(0).cast(exact).alias("s"))
     scan = segmented_prefix(real.unionByName(probes), key, ["_t", "_kind"], ["c", "s"])
     got = scan.filter(F.col("_kind") == 0).groupBy("_id").pivot("_b", [b for b, _ in bounds]) \
         .agg(F.first("_cum_c").alias("c"), F.first("_cum_s").alias("s"))

@@ -17,7 +17,7 @@ HOLDOUT_DAYS = 30
 
 def _md5_key(*parts: str) -> str:
     """DuckDB form of :func:`tidemark.functions.columns.hash64`."""
-    return "('0x' || substr(md5(concat_ws('|', " + ", ".join(f"CAST({p} AS VARCHAR)" for p in parts) + ")), 1, 8))::BIGINT"
+    return "('0x' || substr(md5(concat_ws('|', " + ", ".join(f"CAST({p} AS VARCHAR)" for p in parts) + ")), 1, 15))::BIGINT"
 
 
 def _splits(spark, sf_dir):
@@ -76,9 +76,9 @@ def standardize_dtypes(spark, sf_dir):
 
 @query("safe_cast", with_ctes(_RAW_EVENTS_SQL) + """
 SELECT event_id,
-       CASE WHEN regexp_full_match(trim(movieId), '[+-]?[0-9]{1,18}') THEN trim(movieId)::BIGINT ELSE 0 END AS movie_int,
+       coalesce(CASE WHEN regexp_full_match(trim(movieId), '[+-]?[0-9]+') THEN TRY_CAST(trim(movieId) AS BIGINT) END, 0) AS movie_int,
        coalesce(TRY_CAST(trim(rating) AS DOUBLE), 0.0) AS rating_float,
-       CASE WHEN regexp_full_match(trim(rating), '[+-]?[0-9]{1,18}') THEN trim(rating)::BIGINT ELSE -1 END AS rating_int
+       coalesce(CASE WHEN regexp_full_match(trim(rating), '[+-]?[0-9]+') THEN TRY_CAST(trim(rating) AS BIGINT) END, -1) AS rating_int
 FROM RAW""", "prep")
 def safe_cast(spark, sf_dir):
     """safe int/float with defaults over text that includes "None" and JSON junk."""
@@ -271,7 +271,7 @@ def _profile_sql():
     for c, t in cols:
         parts.append(f"""SELECT '{c}' AS "column", '{t}' AS dtype, count(*) FILTER (WHERE "{c}" IS NULL) AS n_null,
   round(count(*) FILTER (WHERE "{c}" IS NULL) * 100.0 / count(*), 2) AS pct_null,
-  count(DISTINCT "{c}") AS n_unique, coalesce(substr(min(CAST("{c}" AS VARCHAR)), 1, 60), '') AS sample FROM L""")
+  count(DISTINCT "{c}") AS n_unique, coalesce(min(CAST("{c}" AS VARCHAR)), '') AS sample FROM L""")
     return with_ctes(L_SQL) + "\nUNION ALL\n".join(parts)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,11 +48,8 @@ def build_session(master: str | None = None, app: str = "tidemark",
 def ensure_runtime(spark: SparkSession) -> SparkSession:
     """Apply the runtime (SQL) settings to a session created elsewhere."""
     for k, v in RUNTIME_CONF.items():
-        try:
-            if spark.conf.get(k, None) != v:
-                spark.conf.set(k, v)
-        except Exception:  # static or locked conf: leave as configured
-            pass
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     return spark
 
 
@@ -65,7 +63,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster is a cluster
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS)")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     if sc.getCheckpointDir() is None:

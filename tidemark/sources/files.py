@@ -106,7 +106,7 @@ def load_all_tables(spark: SparkSession, root: str) -> tuple[dict, DataFrame]:
                 tables[stem] = read_text_table(spark, path)
             else:
                 rejected.append((r["relative_path"], "unknown extension"))
-        except Exception as e:  # keep going, like the loader it mirrors
+        except Exception as e:  # a file that cannot be read is reported, the others load
             rejected.append((r["relative_path"], type(e).__name__))
     rej = spark.createDataFrame(rejected, "relative_path string, reason string")
     return tables, rej
