@@ -143,10 +143,19 @@ def candidate_set(users_last: DataFrame, top_pop_ids, nb: DataFrame, seen: DataF
 
 def user_vectors(events: DataFrame, vectors: DataFrame, user_col="userId", item_col="movieId",
                  ts_col="event_timestamp") -> DataFrame:
-    """The user's vector = the vector of their most recent item that has one."""
-    v = vectors.select(F.col("item_id").alias(item_col), "vector")
-    return events.join(v, item_col).groupBy(user_col).agg(
-        F.max_by("vector", F.struct(ts_col, item_col)).alias("vector"))
+    """One row per user: the vector of their most recent item that has one.  A
+    user without such an item gets the zero vector, so that every item scores 0
+    and ties go to the smallest ids; no user is lost.
+
+    Only ids travel with the events: the vector is joined once, to the one
+    item kept per user."""
+    v = vectors.select(F.col("item_id").alias("_last"), "vector")
+    known = events.join(v.select(F.col("_last").alias(item_col)), item_col, "left_semi")
+    last = known.groupBy(user_col).agg(F.max_by(item_col, F.struct(ts_col, item_col)).alias("_last"))
+    dim = vectors.select(F.max(F.size("vector"))).first()[0] or 0
+    users = events.select(user_col).distinct().join(last, user_col, "left").join(v, "_last", "left")
+    zero = F.array_repeat(F.lit(0.0), dim).cast(vectors.schema["vector"].dataType)
+    return users.select(user_col, F.coalesce("vector", zero).alias("vector"))
 
 
 def top_k_by_score(scored: DataFrame, k: int, user_col="userId", item_col="movieId") -> DataFrame:

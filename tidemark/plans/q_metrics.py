@@ -85,8 +85,10 @@ def score_histogram(spark, sf_dir):
     return M.score_histogram(events_labeled(spark, sf_dir))
 
 
-_REC_SQL = """UV AS (SELECT L.userId, arg_max(VEC.vector, (L.event_timestamp, L.movieId)) AS vector
+_REC_SQL = """UV0 AS (SELECT L.userId, arg_max(VEC.vector, (L.event_timestamp, L.movieId)) AS vector
   FROM TRAIN L JOIN VEC ON L.movieId = VEC.item_id GROUP BY L.userId),
+UV AS (SELECT U.userId, coalesce(UV0.vector, (SELECT list_transform(any_value(vector), lambda x: 0 * x) FROM VEC)) AS vector
+  FROM (SELECT DISTINCT userId FROM TRAIN L) U LEFT JOIN UV0 ON U.userId = UV0.userId),
 REC AS (SELECT userId, movieId, rec_ranking FROM (
   SELECT UV.userId, VEC.item_id AS movieId,
          row_number() OVER (PARTITION BY UV.userId ORDER BY list_dot_product(UV.vector, VEC.vector) DESC, VEC.item_id)

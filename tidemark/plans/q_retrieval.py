@@ -25,8 +25,10 @@ _POP_SQL = f"""POP AS (SELECT movieId, count(*) AS score FROM L GROUP BY movieId
 TOPP AS (SELECT movieId, score, row_number() OVER (ORDER BY score DESC, movieId::VARCHAR DESC) AS rank
          FROM POP ORDER BY score DESC, movieId::VARCHAR DESC LIMIT {K_POP})"""
 
-_UV_SQL = """UV AS (SELECT L.userId, arg_max(VEC.vector, (L.event_timestamp, L.movieId)) AS vector
-  FROM L JOIN VEC ON L.movieId = VEC.item_id GROUP BY L.userId)"""
+_UV_SQL = """UV0 AS (SELECT L.userId, arg_max(VEC.vector, (L.event_timestamp, L.movieId)) AS vector
+  FROM L JOIN VEC ON L.movieId = VEC.item_id GROUP BY L.userId),
+UV AS (SELECT U.userId, coalesce(UV0.vector, (SELECT list_transform(any_value(vector), lambda x: 0 * x) FROM VEC)) AS vector
+  FROM (SELECT DISTINCT userId FROM L) U LEFT JOIN UV0 ON U.userId = UV0.userId)"""
 
 
 def _vec(spark, sf_dir):

@@ -104,10 +104,11 @@ def sequence_features(state_rows: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- sinks
 
-def upsert_versioned(snapshot_dir: str, keys, ts_col: str, transform=None):
+def upsert_versioned(snapshot_dir: str, keys, ts_col: str, transform=None, tie=()):
     """S16/R4 foreachBatch sink: keyed latest-row upsert into versioned parquet.
-    Rows are ordered by (``ts_col``, batch id): on equal event time the later
-    batch wins.  ``transform(batch, batch_id)`` may prepare the batch first."""
+    Rows are ordered by (``ts_col``, batch id, ``tie`` columns): on equal event
+    time the later batch wins, inside a batch the greatest tie, or without tie
+    columns the greatest row, so a replay picks the same row.  ``transform(batch, batch_id)`` may prepare the batch first."""
     def sink(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
         if transform is not None:
@@ -119,7 +120,7 @@ def upsert_versioned(snapshot_dir: str, keys, ts_col: str, transform=None):
             old = spark.read.parquet(prev)
             cur = old.unionByName(batch.select(*old.columns))
         rest = [c for c in cur.columns if c not in keys]
-        out = cur.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(ts_col, "_batch")).alias("_v")) \
+        out = cur.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(ts_col, "_batch", *(tie or rest))).alias("_v")) \
             .select(*keys, "_v.*")
         out.write.mode("overwrite").parquet(f"{snapshot_dir}/v={batch_id:012d}")
     return sink
