@@ -216,12 +216,10 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **optio
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, with a score of ``threshold`` or more;
-    learns as ``classify`` does.  Statistics for fitting are taken of labelled
-    documents only; the whole table is read once, to score and filter."""
-    known = labels.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct()
-    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    model = fit(statistics(src.join(known, F.col("doc_id") == F.col("_id"), "left_semi")),
-                labels.select("doc_id", F.col("quality").alias("label")), lambda c: F.crc32(c.cast("string").cast("binary")) % 5 != 0, **options)
+    learns as ``classify`` does.  Statistics are taken twice, to fit and to
+    filter, so that texts are never shuffled."""
+    model = fit(stored(statistics(docs, doc_id, text), "quality-stats"), labels.select("doc_id", F.col("quality").alias("label")),
+                lambda c: F.crc32(c.cast("string").cast("binary")) % 5 != 0, **options)
     if model is None:
         return docs
     at = docs.columns.index(text)
