@@ -155,7 +155,8 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text
     own = texts.join(need, "fp", "left_semi").dropDuplicates(["fp"]).mapInArrow(shingle_rows, "fp binary, all array<long>")
     share = F.size(F.array_intersect("sh", "all")) / F.col("n")
     # An id on several rows: its best row counts.
-    out = (cand.join(own, "fp").join(items.select("item_id", "n", "sh"), "item_id")
+    known = items.select(F.col("item_id").alias("_item"), "n", "sh")
+    out = (cand.join(own, "fp").join(known, F.col("item_id").eqNullSafe(F.col("_item")))
            .select("fp", "item_id", share.alias("containment")).where(F.col("containment") >= threshold))
     return out.groupBy("fp", "item_id").agg(F.max("containment").alias("containment"))
 
