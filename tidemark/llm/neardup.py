@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fingerprint, stored
@@ -77,7 +77,7 @@ def dart_signatures(h: np.ndarray, weight: np.ndarray, row: np.ndarray, n: int,
 
 def band_keys(sig: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     """One 64-bit key for each band of ``rows`` coordinates."""
-    b = sig.reshape(len(sig), -1, rows)
+    b = sig.reshape(len(sig), sig.shape[1] // rows, rows)
     acc = np.zeros(b.shape[:2], np.uint64)
     for j in range(rows):
         acc = mix(acc * np.uint64(0xD1342543DE82EF95) + b[:, :, j])
@@ -89,8 +89,8 @@ def lists(flat: np.ndarray, starts: np.ndarray, kind=pa.int64()) -> pa.Array:
 
 
 def signatures(texts: DataFrame, k: int = COORDS, rows: int = BAND_ROWS) -> DataFrame:
-    """(fp, n, bands array<long>) of (fp, text) rows, n being the number of
-    shingles; texts without words drop out."""
+    """(fp, n, sig, bands) of (fp, text) rows: the number of shingles, a byte of
+    each coordinate, the band keys; texts without words drop out."""
     def run(batches):
         for b in batches:
             for lo, hi, buf, offs in blocks(b.column(1)):
@@ -101,11 +101,13 @@ def signatures(texts: DataFrame, k: int = COORDS, rows: int = BAND_ROWS) -> Data
                 sig = dart_signatures(h, c.astype(float), row, hi - lo, k)
                 has = np.flatnonzero(size)
                 keys = band_keys(sig[has], rows).view(np.int64)
+                low = (sig[has] & np.uint64(255)).astype(np.uint8).tobytes()
                 yield pa.record_batch([b.column(0).slice(lo, hi - lo).take(pa.array(has)), pa.array(size[has]),
+                                       pa.FixedSizeBinaryArray.from_buffers(pa.binary(k), len(has), [None, pa.py_buffer(low)]).cast(pa.binary()),
                                        lists(keys.ravel(), np.arange(len(has) + 1) * keys.shape[1])],
-                                      names=["fp", "n", "bands"])
+                                      names=["fp", "n", "sig", "bands"])
 
-    return texts.select("fp", F.lower("text").alias("text")).mapInArrow(run, "fp binary, n long, bands array<long>")
+    return texts.select("fp", F.lower("text").alias("text")).mapInArrow(run, "fp binary, n long, sig binary, bands array<long>")
 
 
 def _sets(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -122,71 +124,142 @@ def similarity(a: str, b: str) -> float:
     return float(both / max(c1.sum() + c2.sum() - both, 1))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b) pairs of fingerprints whose texts have the similarity."""
+def verified(pairs: DataFrame, lower: DataFrame, threshold: float) -> DataFrame:
+    """The (a, b) pairs of fingerprints whose texts, in ``lower(fp, t)``, have
+    the similarity."""
     def run(batches):
         for t in batches:
             ok = [similarity(x.as_py(), y.as_py()) >= threshold for x, y in zip(t.column(2), t.column(3))]
             yield pa.record_batch([t.column(0), t.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    need = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    own = stored(texts.join(need, "fp", "left_semi").dropDuplicates(["fp"]).select("fp", F.lower("text").alias("t")), "neardup-texts")
-    x = pairs.join(own.select(F.col("fp").alias("a"), F.col("t").alias("ta")), "a")
-    x = x.join(own.select(F.col("fp").alias("b"), F.col("t").alias("tb")), "b")
+    x = pairs.join(lower.select(F.col("fp").alias("a"), F.col("t").alias("ta")), "a")
+    x = x.join(lower.select(F.col("fp").alias("b"), F.col("t").alias("tb")), "b")
     return x.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
-def _pairs(member: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (a, b), a < b, of rows (fp, n, head(fp, n)) of which the sizes
-    allow the similarity."""
-    m = member.where((F.col("fp") != F.col("head.fp"))
-                     & (F.least("n", "head.n") >= F.lit(threshold) * F.greatest("n", "head.n")))
-    return m.select(F.least("fp", "head.fp").alias("a"), F.greatest("fp", "head.fp").alias("b")).distinct()
+def likely(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, threshold: float, slack: float, few: int = 8, best: int = 3) -> np.ndarray:
+    """Pairs (i, j) of a block worth an exact check, from the share of equal
+    coordinates: a maximum spanning forest while every member is a component of
+    its own; then pairs of different components, all of them in a block of up to
+    ``few`` members, else each member's ``best``."""
+    m = len(sig)
+    est = np.empty((m, m), np.float32)
+    for i in range(m):
+        est[i] = (sig[i] == sig).mean(axis=1)
+    fits = np.minimum(size, size[:, None]) >= threshold * np.maximum(size, size[:, None])
+    est[~fits | (comp == comp[:, None])] = -1
+    least = threshold - slack
+    if len(np.unique(comp)) < m:
+        if m <= few:
+            i, j = np.nonzero(np.triu(est >= least))
+        else:
+            j = np.argpartition(-est, best, axis=1)[:, :best].ravel()
+            i = np.repeat(np.arange(m), best)
+            ok = est[i, j] >= least
+            i, j = i[ok], j[ok]
+        return np.column_stack([i, j])
+    out = []
+    near, top = np.zeros(m, np.int64), np.full(m, -2.0, np.float32)
+    left = np.ones(m, bool)
+    at = 0
+    for _ in range(m - 1):  # Prim's algorithm on the dense block
+        left[at] = False
+        up = est[at] > top
+        near[up], top[up] = at, est[at][up]
+        at = int(np.where(left, top, -3).argmax())
+        if top[at] >= least:
+            out.append((near[at], at))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def _blocks_of(threshold: float, slack: float):
+    """(a, b) of rows (block, fp, n, sig, comp) sorted by block."""
+    def pairs(t: pa.Table) -> list:
+        key = t.column("block").to_numpy()
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)]))
+        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(t), -1)
+        size, fp = t.column("n").to_numpy(), np.array(t.column("fp").to_pylist(), object)
+        comp = np.unique(np.array(t.column("comp").to_pylist(), "S16"), return_inverse=True)[1]
+        out = []
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if hi - lo > 1:
+                for i, j in likely(sig[lo:hi], size[lo:hi], comp[lo:hi], threshold, slack):
+                    x, y = fp[lo + i], fp[lo + j]
+                    out.append((x, y) if x < y else (y, x))
+        return out
 
-
-def links(texts: DataFrame, threshold: float = 0.8, near: int = 4, salt_rows: int = 1000) -> DataFrame:
-    """Verified links (a, b) that connect the distinct texts of (fp, text) rows,
-    without the pairs of all members of a band's group.
-
-    Every member of a band's group is compared with the least member.  While
-    several components still meet in a group, the members of each are compared
-    with the least members of the ``near`` components before it and after it
-    there, in an order that changes with the round, until a round adds no link.
-    So a round costs a bounded number of pairs for each member, and no pair is
-    compared twice.  Groups are ordered in salted runs of about ``salt_rows``
-    components.
+    def run(batches):
+        rest = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if rest is None else pa.concat_tables([rest, t])
+            last = int(np.searchsorted(-(t.column("block").to_numpy() != t.column("block")[-1].as_py()).astype(int), 0))
+            rest = t.slice(last)
+            got = list(set(pairs(t.slice(0, last)))) if last else []
+            yield pa.record_batch([pa.array([x for x, _ in got], pa.binary()), pa.array([y for _, y in got], pa.binary())], names=["a", "b"])
+        if rest is not None:
+            got = list(set(pairs(rest)))
+            yield pa.record_batch([pa.array([x for x, _ in got], pa.binary()), pa.array([y for _, y in got], pa.binary())], names=["a", "b"])
+
+    return run
+
+
+def linked(texts: DataFrame, threshold: float = 0.8, slack: float = 0.12, block_rows: int = 1024) -> DataFrame:
+    """(node, comp): the components of the verified links between the distinct
+    texts of (fp, text) rows, for texts that have a link, without the pairs of
+    all members of a band's group.
+
+    A band's group is compared in blocks of about ``block_rows`` texts (groups
+    beyond that are dealt by a hash of text, band and round), by the share of
+    equal coordinates; a block proposes the pairs of a maximum spanning forest
+    of the estimates down to ``slack`` under the threshold, which are verified
+    on the texts.  Then, while several components meet in a block, it proposes
+    its likeliest pairs between components, until a round adds no link.  So the
+    work grows with the number of texts, and no pair is verified twice.  Texts
+    that share a band with another are fetched once.  Later rounds join whole
+    components, a graph of their few new links.
     """
-    sigs = signatures(texts).dropDuplicates(["fp"])
-    each = sigs.select("fp", "n", F.explode("bands").alias("band"))
-    many = (each.groupBy("band").agg(F.min(F.struct("fp", "n")).alias("head"), F.count("*").alias("m"))
-            .where("m > 1").select("band", "head"))
-    groups = stored(each.join(many, "band"))
-    tested = stored(_pairs(groups, threshold))
-    found = stored(verified(tested, texts, threshold))
+    sigs = stored(signatures(texts).dropDuplicates(["fp"]), "neardup-signatures")
+    each = sigs.select("fp", F.explode("bands").alias("band"))
+    many = each.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
+    groups = each.join(many, "band")
+    groups = stored(groups.join(sigs.select("fp", "n", "sig"), "fp"), "neardup-groups")
+    lower = texts.join(groups.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])
+    lower = stored(lower.select("fp", F.lower("text").alias("t")), "neardup-texts")
+
+    def proposed(members: DataFrame, turn: int) -> DataFrame:
+        salt = F.pmod(F.xxhash64("fp", "band", F.lit(turn)), F.ceil(F.col("c") / block_rows))
+        m = members.select(F.xxhash64("band", salt).alias("block"), "band", salt.alias("salt"), "fp", "n", "sig", "comp")
+        m = m.repartition("band", "salt").sortWithinPartitions("block", "band", "salt")
+        return m.select("block", "fp", "n", "sig", "comp").mapInArrow(_blocks_of(threshold, slack), "a binary, b binary").distinct()
+
+    tested = stored(proposed(groups.withColumn("comp", F.col("fp")), 0), "neardup-pairs")
+    comp = components(stored(verified(tested, lower, threshold), "neardup-links"))
     turn = 0
     while True:
         turn += 1
-        of = (groups.select("band", "fp", "n").join(components(found), F.col("fp") == F.col("node"), "left")
-              .select("band", "fp", "n", F.coalesce("comp", "fp").alias("comp")))
-        heads = stored(of.groupBy("band", "comp").agg(F.min(F.struct("fp", "n")).alias("own")))
-        mixed = heads.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
-        heads = heads.join(mixed, "band").withColumn(
-            "salt", F.pmod(F.xxhash64("comp", F.lit(turn)), F.ceil(F.col("c") / salt_rows)))
-        run = Window.partitionBy("band", "salt").orderBy(F.xxhash64("comp", F.lit(-turn)), "comp")
-        beside = F.array_compact(F.array(*[f("own", d).over(run) for f in (F.lead, F.lag) for d in range(1, near + 1)]))
-        heads = heads.withColumn("heads", beside).select("band", "comp", F.explode("heads").alias("head"))
-        new = stored(_pairs(of.join(heads, ["band", "comp"]), threshold).join(tested, ["a", "b"], "left_anti"))
-        more = stored(verified(new, texts, threshold))
+        of = groups.join(comp, F.col("fp") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "fp"))
+        mixed = of.groupBy("band").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("band")
+        new = proposed(of.join(mixed, "band", "left_semi"), turn).join(tested, ["a", "b"], "left_anti")
+        new = stored(new, "neardup-pairs")
+        more = stored(verified(new, lower, threshold), "neardup-links")
         if more.limit(1).count() == 0:
-            return found
-        tested, found = tested.union(new), found.union(more)
+            return comp
+        tested = tested.union(new)
+        for end in ("a", "b"):
+            named = comp.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
+            more = more.join(named, F.col(end) == F.col("_n"), "left").withColumn(end, F.coalesce("_c", end)).drop("_n", "_c")
+        joined = components(stored(more, "neardup-links")).select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
+        grown = comp.join(joined, F.col("comp") == F.col("_n"), "left").select("node", F.coalesce("_c", "comp").alias("comp"))
+        fresh = joined.join(comp, F.col("_n") == F.col("node"), "left_anti").select(F.col("_n").alias("node"), F.col("_c").alias("comp"))
+        comp = stored(grown.unionByName(fresh), "neardup-components")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
     """(doc_id, class_id, class_size) for each row of ``docs``."""
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     texts = base.where("text is not null").select(fingerprint(F.col("text")).alias("fp"), "text")
-    comp = components(links(texts, threshold))
+    comp = linked(texts, threshold)
     spaces = "^[ \\t\\n\\x0B\\f\\r]*$"
     rows = base.select("doc_id", F.when(~F.col("text").rlike(spaces), fingerprint(F.col("text"))).alias("fp"))
     named = (rows.join(comp, rows.fp == comp.node, "left")
@@ -203,7 +276,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     has no word are all kept."""
     own = fingerprint(F.col(text).cast("string"))
     base = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), own.alias("fp"))
-    comp = components(links(base.where("text is not null").select("fp", "text"), threshold))
+    comp = linked(base.where("text is not null").select("fp", "text"), threshold)
     ids = base.where(F.col("text").rlike("[^ \\t\\n\\x0B\\f\\r]")).groupBy("fp", "id").agg(F.count("*").alias("n"))
     ids = stored(ids.join(comp, ids.fp == comp.node, "left").select("fp", "id", "n", F.coalesce("comp", "fp").alias("comp")))
     best = (ids.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("fp"))).alias("k"), F.sum("n").alias("rows"))
