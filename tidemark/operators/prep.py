@@ -37,34 +37,30 @@ def typed_interactions(df: DataFrame, user="userId", item="movieId", rating="rat
         (F.col(ts_seconds).cast("long") * 1000).alias("timestamp_unix"))
 
 
-def guess_timestamp_col(df: DataFrame) -> str | None:
-    for c in df.columns:
-        if c.lower() in TS_NAME_CANDIDATES:
-            return c
-    return None
+def epoch_units(df: DataFrame, cols) -> dict[str, str]:
+    """How each column holds time: ``ms`` or ``s`` since the epoch, or ``text``.
+    All columns are decided by one aggregate: the greatest number in a column
+    tells milliseconds (beyond 1e12) from seconds; without any number it is text."""
+    if not cols:
+        return {}
+    top = df.agg(*[F.max(F.col(c).try_cast("double")).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    return {c: "text" if v is None else "ms" if v > 1e12 else "s" for c, v in zip(cols, top)}
+
+
+def read_time(c: str, unit: str) -> Column:
+    """Column ``c`` as a naive UTC timestamp; what does not parse is NULL."""
+    if unit == "text":
+        return F.try_to_timestamp(F.col(c).cast("string")).cast("timestamp_ntz")
+    ticks = F.col(c).try_cast("double").try_cast("long")
+    return (F.timestamp_millis(ticks) if unit == "ms" else F.timestamp_seconds(ticks)).cast("timestamp_ntz")
 
 
 def parse_dt(df: DataFrame, cols=None) -> DataFrame:
-    """parse timestamp columns, detecting the unit: numeric max > 1e12 ->
-    milliseconds, else seconds; non-numeric -> parsed text; failures -> NULL.
-    The unit decision is one scalar aggregate per column."""
-    if cols is None:
-        g = guess_timestamp_col(df)
-        cols = [g] if g else []
-    out = df
-    for c in cols:
-        if c not in df.columns:
-            continue
-        num = F.expr(f"try_cast(`{c}` as double)")
-        mx = scalar(df, F.max(num))
-        if mx is not None and mx > 1e12:
-            parsed = F.timestamp_millis(num.cast("long"))
-        elif mx is not None:
-            parsed = F.timestamp_seconds(num.cast("long"))
-        else:
-            parsed = F.expr(f"try_to_timestamp(cast(`{c}` as string))")
-        out = out.withColumn(c, parsed.cast("timestamp_ntz"))
-    return out
+    """timestamp columns parsed by their detected unit.  Default: the first
+    column with a usual timestamp name; columns that do not exist are ignored."""
+    named = [c for c in df.columns if c.lower() in TS_NAME_CANDIDATES][:1]
+    units = epoch_units(df, [c for c in (named if cols is None else cols) if c in df.columns])
+    return df.withColumns({c: read_time(c, u) for c, u in units.items()}) if units else df
 
 
 def standardize_dtypes(df: DataFrame, user="userId", item="movieId", rating="rating", ts="timestamp") -> DataFrame:
