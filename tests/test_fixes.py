@@ -57,3 +57,16 @@ def test_users_without_vectors_are_kept(spark):
     e = spark.createDataFrame([(1, 10, 1), (1, 11, 2), (2, 12, 1)], "userId long, movieId long, event_timestamp long")
     v = spark.createDataFrame([(10, [1.0, 2.0])], "item_id long, vector array<double>")
     assert {r.userId: r.vector for r in R.user_vectors(e, v).collect()} == {1: [1.0, 2.0], 2: [0.0, 0.0]}
+
+
+def test_tables_of_a_folder(spark, tmp_path):
+    from tidemark.sources import files as S
+    d = str(tmp_path)
+    spark.range(10).repartition(3).write.parquet(f"{d}/a/big.parquet")
+    spark.range(4).write.json(f"{d}/b/big.jsonl")
+    (tmp_path / "x.csv").write_text("k,v\n1,2\n")
+    (tmp_path / "bad.parquet").write_text("no")
+    (tmp_path / "notes.bin").write_text("no")
+    tables, rejected = S.load_all_tables(spark, d)
+    assert {k: v.count() for k, v in tables.items()} == {"a/big": 10, "b/big": 4, "x": 1}
+    assert {r.relative_path for r in rejected.collect()} == {"bad.parquet", "notes.bin"}

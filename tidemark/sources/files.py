@@ -6,11 +6,13 @@ inference is used only by the generic discovery loader.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KNOWN_EXT = {".parquet": "parquet", ".csv": "csv", ".tsv": "tsv", ".jsonl": "jsonl", ".json": "json",
+KNOWN_EXT = {".parquet": "parquet", ".csv": "csv", ".tsv": "tsv", ".jsonl": "jsonl", ".ndjson": "jsonl", ".json": "json",
              ".txt": "txt"}                                 # fixed values: extensions the loader knows
 
 
@@ -83,33 +85,38 @@ def file_manifest(spark: SparkSession, root: str) -> DataFrame:
                     F.round(F.col("length") / (1024 * 1024), 4).alias("size_mb")).orderBy(F.col("size_bytes").desc())
 
 
+def table_paths(spark: SparkSession, root: str) -> DataFrame:
+    """(path, ext): the tables under ``root``.  A table is a file of a known
+    kind, or a folder named like one (as Spark writes it) with all its parts;
+    other files are themselves, with their own extension."""
+    kinds = "|".join(re.escape(e) for e in sorted(KNOWN_EXT))
+    man = file_manifest(spark, root).where(~F.col("relative_path").rlike(r"(^|/)[._][^/]*$"))
+    top = F.regexp_extract("relative_path", rf"(?i)^(.*?(?:{kinds}))(?:/|$)", 1)
+    path = F.when(top != "", top).otherwise(F.col("relative_path"))
+    return man.select(path.alias("path")).distinct().withColumn("ext", F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1)))
+
+
 def load_all_tables(spark: SparkSession, root: str) -> tuple[dict, DataFrame]:
-    """Load every known file under ``root`` keyed by file stem; failures
-    are collected in a rejected-files table instead of aborting.  Iterates
-    over the (small) file list, not over data."""
-    man = file_manifest(spark, root).collect()        # one row per file
+    """Every table under ``root``, keyed by its relative path without the
+    extension; what cannot be read is listed in a rejected-files table.  The
+    driver gets one row per table, however many files it has."""
+    readers = {"parquet": read_parquet, "csv": lambda s, p: read_delimited(s, p, ","),
+               "tsv": lambda s, p: read_delimited(s, p, "\t"), "jsonl": read_jsonl,
+               "json": read_json_document, "txt": read_text_table}
     tables, rejected = {}, []
-    for r in man:
-        kind = KNOWN_EXT.get(r["ext"])
-        path = f"{root.rstrip('/')}/{r['relative_path']}"
-        stem = r["relative_path"].rsplit("/", 1)[-1].rsplit(".", 1)[0]
+    for r in table_paths(spark, root).orderBy("path").collect():
+        read = readers.get(KNOWN_EXT.get(r["ext"]))
+        if read is None:
+            rejected.append((r["path"], "unknown extension"))
+            continue
         try:
-            if kind == "parquet":
-                tables[stem] = read_parquet(spark, path)
-            elif kind in ("csv", "tsv"):
-                tables[stem] = read_delimited(spark, path, "\t" if kind == "tsv" else ",")
-            elif kind == "jsonl":
-                tables[stem] = read_jsonl(spark, path)
-            elif kind == "json":
-                tables[stem] = read_json_document(spark, path)
-            elif kind == "txt":
-                tables[stem] = read_text_table(spark, path)
-            else:
-                rejected.append((r["relative_path"], "unknown extension"))
-        except Exception as e:  # a file that cannot be read is reported, the others load
-            rejected.append((r["relative_path"], type(e).__name__))
-    rej = spark.createDataFrame(rejected, "relative_path string, reason string")
-    return tables, rej
+            df = read(spark, f"{root.rstrip('/')}/{r['path']}")
+        except Exception as e:  # a table that cannot be read is reported, the others load
+            rejected.append((r["path"], type(e).__name__))
+            continue
+        key = r["path"][:-len(r["ext"])]
+        tables[r["path"] if key in tables else key] = df
+    return tables, spark.createDataFrame(rejected, "relative_path string, reason string")
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> None:
