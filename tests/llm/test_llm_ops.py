@@ -76,6 +76,30 @@ def test_neardup_matches_brute_force(spark):
     assert got == {i: (min(v), len(v)) for v in ids.values() for i in v}
 
 
+def family(seed, n, length=200, edits=3):
+    """Variants of one text: most pairs are a little under the threshold."""
+    r, base = random.Random(seed), words(seed, length)
+    out = []
+    for k in range(n):
+        v = list(base)
+        for m, at in enumerate(r.sample(range(5, length - 5), edits)):
+            v[at] = f"x{k}y{m}"
+        out.append((k, " ".join(v)))
+    return out
+
+
+def linked_by_force(rows):
+    ids = defaultdict(list)
+    for (i, _), c in zip(rows, classes_by_force(rows)):
+        ids[c].append(i)
+    return {i: min(v) for v in ids.values() for i in v}
+
+
+def test_neardup_verifies_all_likely_pairs_of_a_block(spark):
+    rows = family(11, 300)
+    assert {r.doc_id: r.class_id for r in neardup.classes(docs(spark, rows)).collect()} == linked_by_force(rows)
+
+
 def test_neardup_edges(spark):
     got = sorted(((r.doc_id, r.class_id, r.class_size) for r in neardup.classes(docs(spark, ODD)).collect()), key=str)
     assert got == sorted([(None, None, 1), (1, 1, 1), (2, 2, 1), (3, 3, 1), (4, 4, 3), (5, 4, 3), (5, 4, 3), (6, 6, 1), (7, 7, 1)], key=str)

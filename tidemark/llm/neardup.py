@@ -137,27 +137,20 @@ def verified(pairs: DataFrame, lower: DataFrame, threshold: float) -> DataFrame:
     return x.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
-def likely(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, threshold: float, slack: float, few: int = 8, best: int = 3) -> np.ndarray:
-    """Pairs (i, j) of a block worth an exact check, from the share of equal
-    coordinates: a maximum spanning forest while every member is a component of
-    its own; then pairs of different components, all of them in a block of up to
-    ``few`` members, else each member's ``best``."""
-    m = len(sig)
-    est = np.empty((m, m), np.float32)
-    for i in range(m):
+def estimates(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, threshold: float) -> np.ndarray:
+    """m x m shares of equal coordinates; -1 for pairs of one component and for
+    sizes that rule the threshold out."""
+    est = np.empty((len(sig), len(sig)), np.float32)
+    for i in range(len(sig)):
         est[i] = (sig[i] == sig).mean(axis=1)
     fits = np.minimum(size, size[:, None]) >= threshold * np.maximum(size, size[:, None])
     est[~fits | (comp == comp[:, None])] = -1
-    least = threshold - slack
-    if len(np.unique(comp)) < m:
-        if m <= few:
-            i, j = np.nonzero(np.triu(est >= least))
-        else:
-            j = np.argpartition(-est, best, axis=1)[:, :best].ravel()
-            i = np.repeat(np.arange(m), best)
-            ok = est[i, j] >= least
-            i, j = i[ok], j[ok]
-        return np.column_stack([i, j])
+    return est
+
+
+def forest(est: np.ndarray, least: float) -> list:
+    """Pairs (i, j) of a maximum spanning forest of the estimates from ``least`` on."""
+    m = len(est)
     out = []
     near, top = np.zeros(m, np.int64), np.full(m, -2.0, np.float32)
     left = np.ones(m, bool)
@@ -168,56 +161,132 @@ def likely(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, threshold: float
         near[up], top[up] = at, est[at][up]
         at = int(np.where(left, top, -3).argmax())
         if top[at] >= least:
-            out.append((near[at], at))
-    return np.array(out, np.int64).reshape(-1, 2)
-
-
-def _blocks_of(threshold: float, slack: float):
-    """(a, b) of rows (block, fp, n, sig, comp) sorted by block."""
-    def pairs(t: pa.Table) -> list:
-        key = t.column("block").to_numpy()
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)]))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(t), -1)
-        size, fp = t.column("n").to_numpy(), np.array(t.column("fp").to_pylist(), object)
-        comp = np.unique(np.array(t.column("comp").to_pylist(), "S16"), return_inverse=True)[1]
-        out = []
+            out.append((int(near[at]), at))
+    return out
+
+
+def links(h: np.ndarray, size: np.ndarray, comp: np.ndarray, threshold: float) -> list:
+    """Pairs (i, j) of exactly the similarity that join all components of a
+    block which any pair of its members joins; ``h`` holds the members' sets
+    (``unrolled``) one after the other, ``size`` their lengths."""
+    ids = np.unique(h, return_inverse=True)[1]
+    start = np.cumsum(size) - size
+    comp, mark, out = comp.copy(), np.zeros(len(ids), np.int32), []
+    for i in range(len(size) - 1):
+        may = (comp != comp[i]) & (np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i]))
+        may[:i] = False
+        if may.any():
+            own = ids[start[i]:start[i] + size[i]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[ids], start)
+            mark[own] = 0
+            for j in np.flatnonzero(may & (both / (size + size[i] - both) >= threshold)):
+                if comp[j] != comp[i]:
+                    out.append((i, int(j)))
+                    comp[comp == comp[j]] = comp[i]
+    return out
+
+
+def by_block(batches):
+    """The rows of each block, as tables, of batches sorted by their first column."""
+    rest = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = t if rest is None else pa.concat_tables([rest, t])
+        cuts = [0, *(np.flatnonzero(np.diff(t.column(0).to_numpy())) + 1).tolist()]
         for lo, hi in zip(cuts[:-1], cuts[1:]):
-            if hi - lo > 1:
-                for i, j in likely(sig[lo:hi], size[lo:hi], comp[lo:hi], threshold, slack):
-                    x, y = fp[lo + i], fp[lo + j]
-                    out.append((x, y) if x < y else (y, x))
-        return out
+            yield t.slice(lo, hi - lo)
+        rest = t.slice(cuts[-1])
+    if rest is not None and len(rest):
+        yield rest
+
+
+def _numbers(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """sig, n and comp (numbered) of a block's rows."""
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(t), -1)
+    return sig, t.column("n").to_numpy(), np.unique(np.array(t.column("comp").to_pylist(), "S16"), return_inverse=True)[1]
+
+
+def _pairs(found: list) -> pa.RecordBatch:
+    got = list({(x, y) if x < y else (y, x) for x, y in found})
+    return pa.record_batch([pa.array([x for x, _ in got], pa.binary()), pa.array([y for _, y in got], pa.binary())], names=["a", "b"])
+
 
+def _forests(threshold: float, slack: float):
+    """(a, b) of rows (block, fp, n, sig, comp): each block's forest."""
     def run(batches):
-        rest = None
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            t = t if rest is None else pa.concat_tables([rest, t])
-            last = int(np.searchsorted(-(t.column("block").to_numpy() != t.column("block")[-1].as_py()).astype(int), 0))
-            rest = t.slice(last)
-            got = list(set(pairs(t.slice(0, last)))) if last else []
-            yield pa.record_batch([pa.array([x for x, _ in got], pa.binary()), pa.array([y for _, y in got], pa.binary())], names=["a", "b"])
-        if rest is not None:
-            got = list(set(pairs(rest)))
-            yield pa.record_batch([pa.array([x for x, _ in got], pa.binary()), pa.array([y for _, y in got], pa.binary())], names=["a", "b"])
+        found = []
+        for t in by_block(batches):
+            if len(t) > 1:
+                fp = t.column("fp").to_pylist()
+                found += [(fp[i], fp[j]) for i, j in forest(estimates(*_numbers(t), threshold), threshold - slack)]
+            if len(found) > 10_000:
+                yield _pairs(found)
+                found = []
+        yield _pairs(found)
+
+    return run
+
+
+def _open_members(threshold: float, slack: float):
+    """(block, fp, comp) of the rows (block, fp, n, sig, comp) that have a
+    likely partner of another component in their block."""
+    def run(batches):
+        for t in by_block(batches):
+            if len(t) > 1:
+                hit = (estimates(*_numbers(t), threshold) >= threshold - slack).any(axis=1)
+                if hit.any():
+                    yield from t.filter(pa.array(hit)).select(["block", "fp", "comp"]).combine_chunks().to_batches()
 
     return run
 
 
+def _exact_links(threshold: float):
+    """(a, b) of rows (block, fp, comp, all)."""
+    def run(batches):
+        for t in by_block(batches):
+            fp = t.column("fp").to_pylist()
+            comp = np.unique(np.array(t.column("comp").to_pylist(), "S16"), return_inverse=True)[1]
+            sets = [x.values.to_numpy().view(np.uint64) for x in t.column("all").combine_chunks()]
+            found = links(np.concatenate(sets), np.array([len(x) for x in sets]), comp, threshold)
+            if found:
+                yield _pairs([(fp[i], fp[j]) for i, j in found])
+
+    return run
+
+
+def unrolled(lower: DataFrame) -> DataFrame:
+    """(fp, all) of (fp, t): the multiset of shingles of a lower-case text as a
+    set, the k-th occurrence of a shingle being an element of its own."""
+    def run(batches):
+        for b in batches:
+            for lo, hi, buf, offs in blocks(b.column(1)):
+                r, s, e = word_spans(buf, offs)
+                h, row, c = counted(*shingles(word_hashes(buf, s, e), r)[:2])
+                h, row, k = np.repeat(h, c), np.repeat(row, c), np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+                h = np.where(k > 0, mix(h + k.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)), h)
+                yield pa.record_batch([b.column(0).slice(lo, hi - lo), lists(h.view(np.int64), np.searchsorted(row, np.arange(hi - lo + 1)))],
+                                      names=["fp", "all"])
+
+    return lower.select("fp", "t").mapInArrow(run, "fp binary, all array<long>")
+
+
 def linked(texts: DataFrame, threshold: float = 0.8, slack: float = 0.12, block_rows: int = 1024) -> DataFrame:
     """(node, comp): the components of the verified links between the distinct
     texts of (fp, text) rows, for texts that have a link, without the pairs of
     all members of a band's group.
 
-    A band's group is compared in blocks of about ``block_rows`` texts (groups
-    beyond that are dealt by a hash of text, band and round), by the share of
-    equal coordinates; a block proposes the pairs of a maximum spanning forest
-    of the estimates down to ``slack`` under the threshold, which are verified
-    on the texts.  Then, while several components meet in a block, it proposes
-    its likeliest pairs between components, until a round adds no link.  So the
-    work grows with the number of texts, and no pair is verified twice.  Texts
-    that share a band with another are fetched once.  Later rounds join whole
-    components, a graph of their few new links.
+    A first pass joins what is easily joined.  A band's group is compared in
+    blocks of about ``block_rows`` texts (larger groups are dealt by a hash of
+    text and band), by the share of equal coordinates; a block proposes the
+    pairs of a maximum spanning forest of the estimates down to ``slack`` under
+    the threshold, which are verified on the texts.
+
+    The second pass is the remainder, and exact: in each group that still holds
+    several components, the members with a likely partner (an estimate down to
+    ``slack`` under the threshold) in another component bring their whole sets,
+    and all their pairs of different components are compared.  A block gives
+    only the links that join components, so it has fewer than members.
     """
     sigs = stored(signatures(texts).dropDuplicates(["fp"]), "neardup-signatures")
     each = sigs.select("fp", F.explode("bands").alias("band"))
@@ -227,32 +296,34 @@ def linked(texts: DataFrame, threshold: float = 0.8, slack: float = 0.12, block_
     lower = texts.join(groups.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])
     lower = stored(lower.select("fp", F.lower("text").alias("t")), "neardup-texts")
 
-    def proposed(members: DataFrame, turn: int) -> DataFrame:
-        salt = F.pmod(F.xxhash64("fp", "band", F.lit(turn)), F.ceil(F.col("c") / block_rows))
-        m = members.select(F.xxhash64("band", salt).alias("block"), "band", salt.alias("salt"), "fp", "n", "sig", "comp")
-        m = m.repartition("band", "salt").sortWithinPartitions("block", "band", "salt")
-        return m.select("block", "fp", "n", "sig", "comp").mapInArrow(_blocks_of(threshold, slack), "a binary, b binary").distinct()
-
-    tested = stored(proposed(groups.withColumn("comp", F.col("fp")), 0), "neardup-pairs")
-    comp = components(stored(verified(tested, lower, threshold), "neardup-links"))
-    turn = 0
-    while True:
-        turn += 1
-        of = groups.join(comp, F.col("fp") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "fp"))
-        mixed = of.groupBy("band").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("band")
-        new = proposed(of.join(mixed, "band", "left_semi"), turn).join(tested, ["a", "b"], "left_anti")
-        new = stored(new, "neardup-pairs")
-        more = stored(verified(new, lower, threshold), "neardup-links")
-        if more.limit(1).count() == 0:
-            return comp
-        tested = tested.union(new)
-        for end in ("a", "b"):
-            named = comp.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
-            more = more.join(named, F.col(end) == F.col("_n"), "left").withColumn(end, F.coalesce("_c", end)).drop("_n", "_c")
-        joined = components(stored(more, "neardup-links")).select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
-        grown = comp.join(joined, F.col("comp") == F.col("_n"), "left").select("node", F.coalesce("_c", "comp").alias("comp"))
-        fresh = joined.join(comp, F.col("_n") == F.col("node"), "left_anti").select(F.col("_n").alias("node"), F.col("_c").alias("comp"))
-        comp = stored(grown.unionByName(fresh), "neardup-components")
+    salt = F.pmod(F.xxhash64("fp", "band"), F.ceil(F.col("c") / block_rows))
+    first = groups.select(F.xxhash64("band", salt).alias("block"), "band", salt.alias("salt"), "fp", "n", "sig", F.col("fp").alias("comp"))
+    first = first.repartition("band", "salt").sortWithinPartitions("block", "band", "salt")
+    tested = first.select("block", "fp", "n", "sig", "comp").mapInArrow(_forests(threshold, slack), "a binary, b binary").distinct()
+    comp = components(stored(verified(stored(tested, "neardup-pairs"), lower, threshold), "neardup-links"))
+
+    of = groups.join(comp, F.col("fp") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "fp")).drop("node")
+    met = _meetings(of, block_rows)
+    met = met.repartition("band", "part").sortWithinPartitions("block", "band", "part").select("block", "fp", "n", "sig", "comp")
+    opened = stored(met.mapInArrow(_open_members(threshold, slack), "block long, fp binary, comp binary"), "neardup-open")
+    sets = unrolled(lower.join(opened.select("fp").distinct(), "fp", "left_semi"))
+    full = opened.join(sets, "fp").select("block", "fp", "comp", "all").repartition("block").sortWithinPartitions("block")
+    more = stored(full.mapInArrow(_exact_links(threshold), "a binary, b binary").distinct(), "neardup-links")
+    for end in ("a", "b"):
+        named = comp.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
+        more = more.join(named, F.col(end) == F.col("_n"), "left").withColumn(end, F.coalesce("_c", end)).drop("_n", "_c")
+    joined = components(stored(more, "neardup-links")).select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
+    grown = comp.join(joined, F.col("comp") == F.col("_n"), "left").select("node", F.coalesce("_c", "comp").alias("comp"))
+    fresh = joined.join(comp, F.col("_n") == F.col("node"), "left_anti").select(F.col("_n").alias("node"), F.col("_c").alias("comp"))
+    return stored(grown.unionByName(fresh), "neardup-components")
+
+
+def _meetings(of: DataFrame, block_rows: int) -> DataFrame:
+    """(block, band, part, fp, n, sig, comp) of the members of groups with
+    several components, large groups dealt into blocks."""
+    mixed = of.groupBy("band").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("band")
+    part = F.pmod(F.xxhash64("fp", "band"), F.ceil(F.col("c") / block_rows))
+    return of.join(mixed, "band", "left_semi").select(F.xxhash64("band", part).alias("block"), "band", part.alias("part"), "fp", "n", "sig", "comp")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
