@@ -100,6 +100,21 @@ def test_neardup_verifies_all_likely_pairs_of_a_block(spark):
     assert {r.doc_id: r.class_id for r in neardup.classes(docs(spark, rows)).collect()} == linked_by_force(rows)
 
 
+def test_neardup_meets_all_blocks_of_a_group(spark):
+    rows = family(12, 120)
+    texts = docs(spark, rows).select(F.md5("text").cast("binary").alias("fp"), "text")
+    name = {hashlib.md5(t.encode()).hexdigest().encode(): i for i, t in rows}
+    want = defaultdict(set)
+    for i, c in linked_by_force(rows).items():
+        want[c].add(i)
+    want = {frozenset(v) for v in want.values() if len(v) > 1}
+    for sizes in ({"block_rows": 16}, {"block_shingles": 4000}):
+        got = defaultdict(set)
+        for r in neardup.linked(texts, **sizes).collect():
+            got[bytes(r.comp)].add(name[bytes(r.node)])
+        assert {frozenset(v) for v in got.values()} == want
+
+
 def test_neardup_edges(spark):
     got = sorted(((r.doc_id, r.class_id, r.class_size) for r in neardup.classes(docs(spark, ODD)).collect()), key=str)
     assert got == sorted([(None, None, 1), (1, 1, 1), (2, 2, 1), (3, 3, 1), (4, 4, 3), (5, 4, 3), (5, 4, 3), (6, 6, 1), (7, 7, 1)], key=str)

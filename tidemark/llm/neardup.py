@@ -137,14 +137,16 @@ def verified(pairs: DataFrame, lower: DataFrame, threshold: float) -> DataFrame:
     return x.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
-def estimates(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, threshold: float) -> np.ndarray:
-    """m x m shares of equal coordinates; -1 for pairs of one component and for
-    sizes that rule the threshold out."""
+def estimates(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, side: np.ndarray | None, threshold: float) -> np.ndarray:
+    """m x m shares of equal coordinates; -1 for pairs of one component, of one
+    ``side`` if there are two, and for sizes that rule the threshold out."""
     est = np.empty((len(sig), len(sig)), np.float32)
     for i in range(len(sig)):
         est[i] = (sig[i] == sig).mean(axis=1)
     fits = np.minimum(size, size[:, None]) >= threshold * np.maximum(size, size[:, None])
     est[~fits | (comp == comp[:, None])] = -1
+    if side is not None:
+        est[side == side[:, None]] = -1
     return est
 
 
@@ -165,16 +167,19 @@ def forest(est: np.ndarray, least: float) -> list:
     return out
 
 
-def links(h: np.ndarray, size: np.ndarray, comp: np.ndarray, threshold: float) -> list:
+def links(h: np.ndarray, size: np.ndarray, comp: np.ndarray, side: np.ndarray | None, threshold: float) -> list:
     """Pairs (i, j) of exactly the similarity that join all components of a
-    block which any pair of its members joins; ``h`` holds the members' sets
-    (``unrolled``) one after the other, ``size`` their lengths."""
+    block which any pair of its members (of its two sides, if ``side`` is given)
+    joins; ``h`` holds the members' sets (``unrolled``) one after the other,
+    ``size`` their lengths."""
     ids = np.unique(h, return_inverse=True)[1]
     start = np.cumsum(size) - size
     comp, mark, out = comp.copy(), np.zeros(len(ids), np.int32), []
     for i in range(len(size) - 1):
         may = (comp != comp[i]) & (np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i]))
         may[:i] = False
+        if side is not None:
+            may &= side != side[i]
         if may.any():
             own = ids[start[i]:start[i] + size[i]]
             mark[own] = 1
@@ -207,6 +212,12 @@ def _numbers(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return sig, t.column("n").to_numpy(), np.unique(np.array(t.column("comp").to_pylist(), "S16"), return_inverse=True)[1]
 
 
+def _side(t: pa.Table) -> np.ndarray | None:
+    """The halves of a block of two parts; None in one of a single part."""
+    half = t.column("half").to_numpy()
+    return half if half.any() else None
+
+
 def _pairs(found: list) -> pa.RecordBatch:
     got = list({(x, y) if x < y else (y, x) for x, y in found})
     return pa.record_batch([pa.array([x for x, _ in got], pa.binary()), pa.array([y for _, y in got], pa.binary())], names=["a", "b"])
@@ -219,7 +230,7 @@ def _forests(threshold: float, slack: float):
         for t in by_block(batches):
             if len(t) > 1:
                 fp = t.column("fp").to_pylist()
-                found += [(fp[i], fp[j]) for i, j in forest(estimates(*_numbers(t), threshold), threshold - slack)]
+                found += [(fp[i], fp[j]) for i, j in forest(estimates(*_numbers(t), None, threshold), threshold - slack)]
             if len(found) > 10_000:
                 yield _pairs(found)
                 found = []
@@ -229,26 +240,26 @@ def _forests(threshold: float, slack: float):
 
 
 def _open_members(threshold: float, slack: float):
-    """(block, fp, comp) of the rows (block, fp, n, sig, comp) that have a
-    likely partner of another component in their block."""
+    """(block, half, fp, comp) of the rows (block, half, fp, n, sig, comp) that
+    have a likely partner of another component in their block."""
     def run(batches):
         for t in by_block(batches):
             if len(t) > 1:
-                hit = (estimates(*_numbers(t), threshold) >= threshold - slack).any(axis=1)
+                hit = (estimates(*_numbers(t), _side(t), threshold) >= threshold - slack).any(axis=1)
                 if hit.any():
-                    yield from t.filter(pa.array(hit)).select(["block", "fp", "comp"]).combine_chunks().to_batches()
+                    yield from t.filter(pa.array(hit)).select(["block", "half", "fp", "comp"]).combine_chunks().to_batches()
 
     return run
 
 
 def _exact_links(threshold: float):
-    """(a, b) of rows (block, fp, comp, all)."""
+    """(a, b) of rows (block, half, fp, comp, all)."""
     def run(batches):
         for t in by_block(batches):
             fp = t.column("fp").to_pylist()
             comp = np.unique(np.array(t.column("comp").to_pylist(), "S16"), return_inverse=True)[1]
             sets = [x.values.to_numpy().view(np.uint64) for x in t.column("all").combine_chunks()]
-            found = links(np.concatenate(sets), np.array([len(x) for x in sets]), comp, threshold)
+            found = links(np.concatenate(sets), np.array([len(x) for x in sets]), comp, _side(t), threshold)
             if found:
                 yield _pairs([(fp[i], fp[j]) for i, j in found])
 
@@ -271,7 +282,7 @@ def unrolled(lower: DataFrame) -> DataFrame:
     return lower.select("fp", "t").mapInArrow(run, "fp binary, all array<long>")
 
 
-def linked(texts: DataFrame, threshold: float = 0.8, slack: float = 0.12, block_rows: int = 1024) -> DataFrame:
+def linked(texts: DataFrame, threshold: float = 0.8, slack: float = 0.12, block_rows: int = 1024, block_shingles: int = 1 << 20) -> DataFrame:
     """(node, comp): the components of the verified links between the distinct
     texts of (fp, text) rows, for texts that have a link, without the pairs of
     all members of a band's group.
@@ -285,8 +296,10 @@ def linked(texts: DataFrame, threshold: float = 0.8, slack: float = 0.12, block_
     The second pass is the remainder, and exact: in each group that still holds
     several components, the members with a likely partner (an estimate down to
     ``slack`` under the threshold) in another component bring their whole sets,
-    and all their pairs of different components are compared.  A block gives
-    only the links that join components, so it has fewer than members.
+    and all their pairs of different components are compared.  Large groups are
+    dealt into parts, and every two parts that can hold such a pair meet in a
+    task of their own.  A block gives only the links that join components, so
+    it has fewer than members.
     """
     sigs = stored(signatures(texts).dropDuplicates(["fp"]), "neardup-signatures")
     each = sigs.select("fp", F.explode("bands").alias("band"))
@@ -303,11 +316,11 @@ def linked(texts: DataFrame, threshold: float = 0.8, slack: float = 0.12, block_
     comp = components(stored(verified(stored(tested, "neardup-pairs"), lower, threshold), "neardup-links"))
 
     of = groups.join(comp, F.col("fp") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "fp")).drop("node")
-    met = _meetings(of, block_rows)
-    met = met.repartition("band", "part").sortWithinPartitions("block", "band", "part").select("block", "fp", "n", "sig", "comp")
-    opened = stored(met.mapInArrow(_open_members(threshold, slack), "block long, fp binary, comp binary"), "neardup-open")
+    met = _meetings(of, block_rows, block_shingles)
+    met = met.repartition("block").sortWithinPartitions("block").select("block", "half", "fp", "n", "sig", "comp")
+    opened = stored(met.mapInArrow(_open_members(threshold, slack), "block long, half int, fp binary, comp binary"), "neardup-open")
     sets = unrolled(lower.join(opened.select("fp").distinct(), "fp", "left_semi"))
-    full = opened.join(sets, "fp").select("block", "fp", "comp", "all").repartition("block").sortWithinPartitions("block")
+    full = opened.join(sets, "fp").select("block", "half", "fp", "comp", "all").repartition("block").sortWithinPartitions("block")
     more = stored(full.mapInArrow(_exact_links(threshold), "a binary, b binary").distinct(), "neardup-links")
     for end in ("a", "b"):
         named = comp.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
@@ -318,12 +331,25 @@ def linked(texts: DataFrame, threshold: float = 0.8, slack: float = 0.12, block_
     return stored(grown.unionByName(fresh), "neardup-components")
 
 
-def _meetings(of: DataFrame, block_rows: int) -> DataFrame:
-    """(block, band, part, fp, n, sig, comp) of the members of groups with
-    several components, large groups dealt into blocks."""
-    mixed = of.groupBy("band").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("band")
-    part = F.pmod(F.xxhash64("fp", "band"), F.ceil(F.col("c") / block_rows))
-    return of.join(mixed, "band", "left_semi").select(F.xxhash64("band", part).alias("block"), "band", part.alias("part"), "fp", "n", "sig", "comp")
+def _meetings(of: DataFrame, block_rows: int, block_shingles: int) -> DataFrame:
+    """(block, i, j, half, fp, n, sig, comp) of the members of groups with
+    several components.  A group's largest component and its other members are
+    dealt into parts of about ``block_rows`` texts and ``block_shingles``
+    shingles.  Each part of the others meets itself and each other part, of
+    either kind, in a block (i, j) of its own, so that any two members of
+    different components meet; pairs within the largest component do not."""
+    per = of.groupBy("band", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    top = (per.groupBy("band").agg(F.max(F.struct("c", "comp", "w")).alias("top"), F.sum("c").alias("c"), F.sum("w").alias("w"), F.count("*").alias("comps"))
+           .where("comps > 1"))
+    parts = lambda c, w: F.ceil(F.greatest(c / block_rows, w / block_shingles))
+    top = top.select("band", F.col("top.comp").alias("main"), parts(F.col("c") - F.col("top.c"), F.col("w") - F.col("top.w")).alias("others"),
+                     parts(F.col("top.c"), F.col("top.w")).alias("mains"))
+    x, main = F.xxhash64("fp", "band"), F.col("comp") == F.col("main")
+    rows = of.drop("c").join(top, "band")
+    rows = rows.select("band", "fp", "n", "sig", "comp", F.when(main, F.col("others") + F.pmod(x, F.col("mains"))).otherwise(F.pmod(x, F.col("others"))).alias("x"),
+                       F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") + F.when(main, 0).otherwise(F.col("mains")) - 1)).alias("y"))
+    i, j = F.least("x", "y"), F.greatest("x", "y")
+    return rows.select(F.xxhash64("band", i, j).alias("block"), i.alias("i"), j.alias("j"), (F.col("x") > F.col("y")).cast("int").alias("half"), "fp", "n", "sig", "comp")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
