@@ -240,6 +240,16 @@ def test_secrets_links_complementary_parts_only(spark):
     assert text[2][0] == rows[1][1] and key not in text[1][0].split("later")[0] and text[6] == ("[SECRET] [SECRET]", 17)
 
 
+def test_secrets_long_keys_and_gaps(spark):
+    key, url = "aGVsbG8Xb29ybGQ5Zmdh1234", "https://db.example.com/?" + "q=1&" * 80
+    rows = [(1, f"client_id=abc123 {'aB3' * 60}"), (2, f"client_id=abc123 {'aB' * 40}7"), (3, f"{url} {key}"),
+            (4, f"client_id=abc123{' ' * 200}{key}"), (5, f"client_id=abc123{' ' * 201}{key}"), (6, f"{key}{' ' * 200}client_id=abc123")]
+    got = {r.doc_id: r.spans for r in secrets.report(docs(spark, rows)).collect()}
+    assert got[1] == "part_id:0:16,part_key:17:197" and got[2] == "part_id:0:16,part_key:17:98"
+    assert got[3] == f"part_url:0:{len(url)},part_key:{len(url) + 1}:{len(url) + 1 + len(key)}"
+    assert got[4] == "part_id:0:16,part_key:216:240" and got[5] == "" and got[6] == "part_key:0:24,part_id:224:240"
+
+
 def test_pii_adds_what_stands_like_known_data(spark):
     rows = [(i, f"call +1 (555) 010-{1000 + i} now, or order number {i} of {i * 7919 % 10_000}") for i in range(400)]
     rows += [(1000 + i, f"call 1 (555) 010-{2000 + i} now") for i in range(3)]

@@ -11,13 +11,13 @@ Multipart linking adds spans.  Weak parts are identifiers (``client_id=``,
 ``user: ``, AKIA runs of 16-19 characters), keys (unlabelled runs of 20 or more
 letters and digits of mixed kinds) and endpoints (URLs, ``host=``).  Alone they
 mean little; a part is reported, as kind ``part_id``, ``part_key`` or
-``part_url``, only if a complementary part lies within ``reach`` code points in
-the same scope, a scope being the text between two blank lines.  An identifier
+``part_url``, only if a complementary part lies within ``reach`` code points (from the end
+of one to the start of the other) in the same scope, a scope being the text between two blank lines.  An identifier
 or endpoint needs a key, or any base span, nearby; a key needs an identifier or
 endpoint (an ``access`` span is an identifier).
 
-The link is an interval join within (row, scope), done as a range window over
-part positions: it emits no pairs.  Only rows that hold weak parts and a
+The link is an interval join within (row, scope), done as a running maximum
+over the parts' starts and ends: it emits no pairs.  Only rows that hold weak parts and a
 possible complement are shuffled.
 
 Edge cases: a null text counts as empty; an empty text has zero counts, the
@@ -42,7 +42,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a whole run: the same spans as [0-9a-f]+ of 24 or more
 _ID = re.compile(r"(?:client_?id|user(?:name)?|account|access_?key_?id|login)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._+-]{3,})", re.I | re.A)
 _URL = re.compile(r"(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3|ftp)://[A-Za-z0-9._~:/?#@!$&*+,;=%-]{4,}|(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]{4,}", re.A)
-_KEY = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,60}[0-9])(?=[A-Z0-9+/_-]{0,60}[a-z])(?=[a-z0-9+/_-]{0,60}[A-Z])[A-Za-z0-9+/_-]{20,128}(?![A-Za-z0-9+/_-])")
+_KEY = re.compile(r"[A-Za-z0-9+/_-]{20,}")  # whole runs; the kinds of characters are tested after
+_KEY_KINDS = [re.compile(c) for c in ("[0-9]", "[a-z]", "[A-Z]")]
 _BLANK = re.compile(r"\n[\x20\t\r]*\n")
 
 KINDS = ["assign", "access", "hex", "part_id", "part_key", "part_url"]
@@ -68,7 +69,7 @@ def weak_parts(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         out += [(m.start(), 5, m.end()) for m in _URL.finditer(text)]
     if "AKIA" in text:
         out += [(m.start(), 3, m.end()) for m in _ACCESS.finditer(text) if 16 <= m.end() - m.start() < 20]
-    out += [(m.start(), 4, m.end()) for m in _KEY.finditer(text)]
+    out += [(m.start(), 4, m.end()) for m in _KEY.finditer(text) if all(c.search(m.group()) for c in _KEY_KINDS)]
     out.sort()
     free, i = [], 0
     for s, k, e in out:
@@ -111,11 +112,14 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int
     plain = lambda c: F.transform(c, lambda p: F.struct(p.s.alias("s"), p.k.alias("k"), p.e.alias("e")))
     rows = rows.select("doc_id", "_row", plain(F.col("base")).alias("spans"), "base", "weak",
                        ((F.size("weak") + F.size("base") >= 2) & (F.size("weak") > 0)).alias("link"))
-    one = (rows.where("link").select("_row", F.explode(F.concat("base", "weak")).alias("p")).select("_row", "p.*")
-           .withColumn("key", F.col("k").isin(0, 2, 4).cast("int")).withColumn("other", F.col("k").isin(1, 3, 5).cast("int")))
-    near = Window.partitionBy("_row", "scope").orderBy("s").rangeBetween(-reach, reach)
+    one = rows.where("link").select("_row", F.explode(F.concat("base", "weak")).alias("p")).select("_row", "p.*")
+    # A part is at its start; what starts up to `reach` after its end and ends at most `reach` before its start is near.
+    both = F.array(F.struct(F.col("s").alias("pos"), F.lit(0).alias("ask")), F.struct((F.col("e") + reach).alias("pos"), F.lit(1).alias("ask")))
+    one = one.select("*", F.explode(both).alias("at")).select("_row", "scope", "s", "k", "e", "at.*")
+    upto = Window.partitionBy("_row", "scope").orderBy("pos", "ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    has = lambda kinds: (F.max(F.when((F.col("ask") == 0) & F.col("k").isin(kinds), F.col("e"))).over(upto) >= F.col("s") - reach).cast("int")
     # a base span complements an identifier or endpoint whatever its kind
-    one = one.withColumn("has_key", F.max(F.when(F.col("k") <= 2, 1).otherwise(F.col("key"))).over(near)).withColumn("has_other", F.max("other").over(near))
+    one = one.withColumn("has_key", has([0, 1, 2, 4])).withColumn("has_other", has([1, 3, 5])).where("ask = 1")
     good = one.where("k >= 3 and ((k = 4 and has_other = 1) or (k <> 4 and has_key = 1))")
     added = good.groupBy("_row").agg(F.collect_list(F.struct("s", "k", "e")).alias("added"))
     linked = (rows.where("link").join(added, "_row", "left")
