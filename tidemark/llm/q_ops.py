@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, neardup, passages, pii, ppm, quality, secrets, tokencount, topk
+from . import decontaminate, mixing, neardup, passages, pii, ppm, quality, secrets, tokencount, topk, toxicity
 from .common import table
 
 
@@ -60,5 +60,10 @@ def op5_passages(spark, sf_dir):
     return passages.repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_passages": op5_passages, "op6_topk": op6_topk, "op2_ppm": op2_ppm, "op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
+def op12_toxicity(spark, sf_dir):
+    """doc_id, held_out, score, predicted of every document."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op12_toxicity": op12_toxicity, "op5_passages": op5_passages, "op6_topk": op6_topk, "op2_ppm": op2_ppm, "op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
 SQL = {"op4_mix": mixing.oracle_sql(), "op6_topk": topk.oracle_sql()}
