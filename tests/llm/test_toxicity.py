@@ -74,7 +74,7 @@ def test_training_and_scores_match_plain_ftrl(spark):
 
 def test_features_are_words_stems_and_skips():
     a, b, c, d = feature_sets(["Big CAT, big-cat!", "big cat big cat", "big cat", ""])
-    assert a.tolist() == b.tolist() and len(a) == 1 + 2 + 2 + 1 + 1 + 1 - 1  # words, neighbours, one between twice, two between; bias
+    assert a.tolist() == b.tolist() and len(a) == 2 + 2 + 2 + 1 + 1  # words, neighbours, one between, two between, bias
     assert len(c) == 4 and d.tolist() == [T.BIAS]
     long = feature_sets(["unbelievably", "unbelieving"])
     assert len(set(long[0]) & set(long[1])) == 3  # two stems and the bias
