@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, neardup, passages, pii, ppm, quality, secrets, structure, tokencount, topk, toxicity
+from . import decontaminate, mixing, neardup, passages, pii, ppm, prefixtrie, quality, secrets, structure, tokencount, topk, toxicity
 from .common import table
 
 
@@ -70,5 +70,10 @@ def op13_structure(spark, sf_dir):
     return structure.report(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {"op13_structure": op13_structure, "op12_toxicity": op12_toxicity, "op5_passages": op5_passages, "op6_topk": op6_topk, "op2_ppm": op2_ppm, "op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
-SQL = {"op13_structure": structure.oracle_sql(), "op4_mix": mixing.oracle_sql(), "op6_topk": topk.oracle_sql()}
+def op11_prefixtrie(spark, sf_dir):
+    """One row for each node of the prefix trie of the rebuilt conversations."""
+    return prefixtrie.nodes(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {"op11_prefixtrie": op11_prefixtrie, "op13_structure": op13_structure, "op12_toxicity": op12_toxicity, "op5_passages": op5_passages, "op6_topk": op6_topk, "op2_ppm": op2_ppm, "op8_pii": op8_pii, "op7_tokens": op7_tokens, "op4_mix": op4_mix, "op1_quality": op1_quality, "op3_neardup": op3_neardup, "op10_decontaminate": op10_decontaminate, "op9_secrets": op9_secrets}
+SQL = {"op11_prefixtrie": prefixtrie.oracle_sql(), "op13_structure": structure.oracle_sql(), "op4_mix": mixing.oracle_sql(), "op6_topk": topk.oracle_sql()}
