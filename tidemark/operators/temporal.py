@@ -4,13 +4,11 @@ Window semantics: the trailing window of an event at instant t is [t - w, t):
 lower bound inclusive, the event itself and every event of the same instant
 excluded.  An empty window gives count 0 and average 0.0.
 
-Two physical strategies are offered for the count/average windows:
-
-* ``range``  - one ``rangeBetween(-w, -1)`` frame per window over a single
-  exchange by key.  Simple and fast when frames are short.
-* ``prefix`` - counts and sums as differences of cumulative totals, computed
-  by :func:`segmented_prefix`, which range-partitions on (key, time) so a hot
-  key is spread over many tasks instead of one.  O(n log n), skew-safe.
+Counts and averages are running totals that events enter at their time and
+leave after the window (:func:`.scan.trailing_totals`): one growing frame for all
+windows, linear however many events a window holds, and split over many tasks
+for hot keys.  ``prefix`` is the older way, differences of cumulative totals at
+probed bounds; both give the same rows.
 """
 
 from __future__ import annotations
@@ -21,6 +19,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.columns import (PAD, bucket_list, epoch_millis, iso_micros,
                                  pad_left)
+from .scan import SEGMENT_ROWS, last_before, last_rows, trailing_totals
 
 DAY_MS = 86_400_000
 
@@ -32,14 +31,21 @@ def dedup_last_per_instant(df: DataFrame, key: str, ts: str, tie: str, cols) ->
     return df.groupBy(key, ts).agg(packed).select(key, ts, "_v.*")
 
 
-def _range_stats(df: DataFrame, key: str, ms: str, value: str, windows, name) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(ms)
+def _exact(df: DataFrame, value: str) -> str:
+    """The decimal type in which sums of ``value`` are exact (18 places for
+    floating columns, else the column's own type)."""
+    kind = df.schema[value].dataType
+    return "decimal(38,18)" if isinstance(kind, (FloatType, DoubleType)) else kind.simpleString()
+
+
+def _scan_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, rows: int) -> DataFrame:
+    deltas = {"c": F.col(value).isNotNull().cast("long"), "s": F.coalesce(F.col(value), F.lit(0)).cast(_exact(df, value))}
+    got = trailing_totals(df, key, ms, deltas, {f"{d}d": d * DAY_MS for d in windows}, rows)
     cols = []
     for d in windows:
-        fr = w.rangeBetween(-d * DAY_MS, -1)
-        cols.append(F.count(F.col(value)).over(fr).cast("long").alias(name("cnt", d)))
-        cols.append(F.coalesce(F.avg(F.col(value)).over(fr), F.lit(0.0)).alias(name("avg", d)))
-    return df.select("*", *cols)
+        c, total = F.col(f"c_{d}d"), F.col(f"s_{d}d").cast("double")
+        cols += [c.cast("long").alias(name("cnt", d)), F.when(c > 0, total / c).otherwise(F.lit(0.0)).alias(name("avg", d))]
+    return got.select(*df.columns, *cols)
 
 
 def segmented_prefix(df: DataFrame, key: str, order_cols, values, chunk_width: int = DAY_MS) -> DataFrame:
@@ -85,8 +91,7 @@ def _prefix_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, u
     """
     bounds = [("b0", F.col(ms))] + [(f"b{d}", F.col(ms) - F.lit(d * DAY_MS)) for d in windows]
     rid = F.struct(*[F.col(c) for c in uniq])
-    kind = df.schema[value].dataType
-    exact = "decimal(38,18)" if isinstance(kind, (FloatType, DoubleType)) else kind.simpleString()
+    exact = _exact(df, value)
     val = F.coalesce(F.col(value), F.lit(0)).cast(exact)
     real = df.select(F.col(key), F.col(ms).alias("_t"), F.lit(1).alias("_kind"),
                      F.lit(None).cast(df.select(rid.alias("x")).schema[0].dataType).alias("_id"),
@@ -109,12 +114,13 @@ def _prefix_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, u
 
 
 def trailing_stats(df: DataFrame, key: str, ts: str, value: str, windows, name,
-                   strategy: str = "range", uniq=None) -> DataFrame:
+                   strategy: str = "scan", uniq=None, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Add trailing count/avg columns for each window (days) to ``df``.
-    ``uniq``: columns unique per row (needed by the prefix strategy)."""
+    ``uniq``: columns unique per row (needed by the prefix strategy); ``rows``:
+    keys with more are scanned in segments."""
     base = df.withColumn("_ms", epoch_millis(ts))
-    if strategy == "range":
-        out = _range_stats(base, key, "_ms", value, windows, name)
+    if strategy in ("scan", "range"):  # range: the former name
+        out = _scan_stats(base, key, "_ms", value, windows, name, rows)
     elif strategy == "prefix":
         out = _prefix_stats(base, key, "_ms", value, windows, name, uniq or [key, ts])
     else:
@@ -124,7 +130,7 @@ def trailing_stats(df: DataFrame, key: str, ts: str, value: str, windows, name,
 
 def movie_rating_stats(events: DataFrame, items: DataFrame | None = None, item_col: str = "movieId",
                        user_col: str = "userId", ts_col: str = "event_timestamp", rating_col: str = "rating",
-                       windows=(90, 30, 7), strategy: str = "range") -> DataFrame:
+                       windows=(90, 30, 7), strategy: str = "scan", rows: int = SEGMENT_ROWS) -> DataFrame:
     """Per (item, instant) trailing counts/averages over 90/30/7 days.
 
     Dedups to one row per (item, instant) first (greatest user wins, Q1), so
@@ -132,7 +138,7 @@ def movie_rating_stats(events: DataFrame, items: DataFrame | None = None, item_c
     the reduced table."""
     base = dedup_last_per_instant(events, item_col, ts_col, user_col, [rating_col])
     name = lambda kind, d: (f"movie_rating_cnt_{d}d" if kind == "cnt" else f"movie_rating_avg_prev_rating_{d}d")
-    stats = trailing_stats(base, item_col, ts_col, rating_col, windows, name, strategy).drop(rating_col)
+    stats = trailing_stats(base, item_col, ts_col, rating_col, windows, name, strategy, rows=rows).drop(rating_col)
     if items is not None:
         stats = stats.join(items.select(item_col, "title", "genres"), item_col, "left")
     order = [item_col, ts_col] + (["title", "genres"] if items is not None else [])
@@ -141,24 +147,16 @@ def movie_rating_stats(events: DataFrame, items: DataFrame | None = None, item_c
 
 def user_rating_stats(events: DataFrame, user_col: str = "userId", item_col: str = "movieId",
                       ts_col: str = "event_timestamp", rating_col: str = "rating", seq_len: int = 10,
-                      window_days: int = 90, strategy: str = "range") -> DataFrame:
+                      window_days: int = 90, strategy: str = "scan", rows: int = SEGMENT_ROWS) -> DataFrame:
     """One row per event with the 90-day trailing count/avg (peers
     excluded) and the previous ``seq_len`` events (positional, so same-instant
-    predecessors are included; order pinned to (time, item)).
-
-    All frames share ``partitionBy(user)``: a single exchange."""
+    predecessors are included; order pinned to (time, item))."""
     name = lambda kind, d: (f"user_rating_cnt_{d}d" if kind == "cnt" else f"user_rating_avg_prev_rating_{d}d")
-    base = events.select(user_col, item_col, ts_col, rating_col).withColumn("_ms", epoch_millis(ts_col))
-    if strategy == "range":
-        st = _range_stats(base, user_col, "_ms", rating_col, [window_days], name)
-    else:
-        st = trailing_stats(events.select(user_col, item_col, ts_col, rating_col), user_col, ts_col, rating_col,
-                            [window_days], name, strategy, uniq=[user_col, item_col, ts_col]) \
-            .withColumn("_ms", epoch_millis(ts_col))
-    wr = Window.partitionBy(user_col).orderBy("_ms", item_col).rowsBetween(-seq_len, -1)
-    prev = F.collect_list(F.struct(F.col("_ms").alias("ms"), F.col(item_col).alias("item"),
-                                   F.col(ts_col).alias("ts"))).over(wr)
-    st = st.withColumn("_prev", prev)
+    st = trailing_stats(events.select(user_col, item_col, ts_col, rating_col), user_col, ts_col, rating_col,
+                        [window_days], name, strategy, uniq=[user_col, item_col, ts_col], rows=rows) \
+        .withColumn("_ms", epoch_millis(ts_col))
+    item = F.struct(F.col("_ms").alias("ms"), F.col(item_col).alias("item"), F.col(ts_col).alias("ts"))
+    st = last_rows(st, user_col, ["_ms", item_col], item, seq_len, "_prev", rows)
     secs = F.transform("_prev", lambda x: F.floor(x["ms"] / 1000).cast("long"))
     seq_ts = pad_left(secs, seq_len)
     return st.select(
@@ -185,13 +183,14 @@ def first_event_per_item(events: DataFrame, item_col: str = "movieId", ts_col: s
 # ---------------------------------------------------------------- as-of joins
 
 def asof_backward(left: DataFrame, right: DataFrame, by: str, on: str, right_on: str | None = None,
-                  keep_right_ts: str | None = None) -> DataFrame:
+                  keep_right_ts: str | None = None, rows: int = SEGMENT_ROWS) -> DataFrame:
     """For every left row, the latest right row with the same ``by`` and
     right time <= left time (ties inclusive).  Left rows are kept (left join).
 
     Union of both sides with a side flag (right sorts first at equal time) and
-    ``last(..., ignorenulls)`` over a growing frame: one exchange by key, no
-    range join, no pairs.  Right columns must not clash with left columns.
+    the last right row carried forward: one exchange by key, no range join, no
+    pairs; keys with more than ``rows`` rows are scanned in segments.  Right
+    columns must not clash with left columns.
     """
     right_on = right_on or on
     rcols = [c for c in right.columns if c not in (by, right_on)]
@@ -204,8 +203,7 @@ def asof_backward(left: DataFrame, right: DataFrame, by: str, on: str, right_on:
                      payload.alias("__r"), F.lit(None).cast(left.select(F.struct(*lcols).alias("x")).schema[0].dataType).alias("__l"))
     lft = left.select(F.col(by), F.col(on).alias("__t"), F.lit(1).alias("__side"),
                       F.lit(None).cast(r.schema["__r"].dataType).alias("__r"), F.struct(*lcols).alias("__l"))
-    w = Window.partitionBy(by).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    u = r.unionByName(lft).withColumn("__m", F.last("__r", ignorenulls=True).over(w))
+    u = last_before(r.unionByName(lft), by, ["__t", "__side"], "__r", "__m", rows)
     out = u.filter(F.col("__side") == 1).select(F.col(by), F.col("__t").alias(on), "__l.*", "__m")
     sel = [F.col(f"__m.{c}").alias(c) for c in rcols]
     if keep_right_ts:

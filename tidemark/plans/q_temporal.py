@@ -33,8 +33,8 @@ FROM B LEFT JOIN ITEMS ON B.movieId = ITEMS.movieId"""
 
 @query("movie_rating_stats", _movie_stats_sql(), "temporal")
 def movie_rating_stats(spark, sf_dir):
-    """W1 with the range-frame strategy."""
-    return _movie_stats(spark, sf_dir, "range")
+    """W1 by running totals that events enter and leave."""
+    return _movie_stats(spark, sf_dir, "scan")
 
 
 @query("movie_rating_stats_prefix", _movie_stats_sql(), "temporal")
