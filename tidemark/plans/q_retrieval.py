@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6
+from ..operators import ann as A
 from ..operators import retrieval as R
 from ..operators import sequences as Q
 from ..sources.adapters import L_SQL, VEC_SQL, interactions_L, item_vectors, split_sql, table
@@ -164,3 +165,26 @@ def best_run(spark, sf_dir):
     """Champion per experiment (event type): max metric, newer run wins ties."""
     runs = table(spark, sf_dir, "events", ["event_type", "event_id", "value"])
     return R.best_run(runs, "event_type", "value", "event_id").select("event_type", "event_id", "value")
+
+
+_ANN_EVERY = 50  # queries: every 50th item, against all items
+
+
+def _ann(spark, sf_dir):
+    v = _vec(spark, sf_dir)
+    return A.neighbours(v, v.where(F.col("item_id") % _ANN_EVERY == 0), K_NB)
+
+
+@query("ann_topk", None, "retrieval")
+def ann_topk(spark, sf_dir):
+    """Approximate cosine top-10 of every 50th item by inverted lists."""
+    return _ann(spark, sf_dir).withColumn("score", r6("score"))
+
+
+@query("ann_recall", None, "retrieval")
+def ann_recall(spark, sf_dir):
+    """The share of the exact neighbours that ``ann_topk`` finds."""
+    v = _vec(spark, sf_dir)
+    q = v.where(F.col("item_id") % _ANN_EVERY == 0).select(F.col("item_id").alias("qid"), "vector")
+    exact = R.blocked_topk(q, v.select(F.col("item_id").alias("cid"), "vector"), K_NB, "cosine", exclude_self=True)
+    return A.recall(_ann(spark, sf_dir), exact.select(F.col("qid").alias("target_item"), F.col("cid").alias("rec_item")))
