@@ -31,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fingerprint, stored
+from .textblocks import blocks
 
 # White space, and characters that some libraries count as such.
 _WS = "\\s\u180e\u200b\ufeff"
 _RUN = re.compile(f"[{_WS}]{{2}}")
 _STABLE = re.compile(f"(?<=[^{_WS}]) (?=[^{_WS}])")
-CACHE = 300_000
+CACHE = 200_000
+SLICE = 4096
 _tokenizers: dict = {}
 
 
@@ -64,13 +66,15 @@ def count_texts(path: str, texts: list[str]) -> list[int]:
     cut = [segments(t) for t in texts]
     new = {s for c in cut for s in c[1:]}.difference(cache)
     firsts = [c[0] for c in cut]
-    own = {}
-    for some, keys in ((own, list(new)), (None, firsts)):
-        enc = tok.encode_batch_fast([" " + k for k in keys] if some is not None else keys, add_special_tokens=False)
-        if some is None:
-            heads = [len(e) for e in enc]
-        else:
-            own.update(zip(keys, map(len, enc)))
+    def lengths(keys: list[str], before: str) -> list[int]:
+        """Tokens of each key; the encodings of ``SLICE`` keys exist at a time."""
+        out = []
+        for i in range(0, len(keys), SLICE):
+            out += map(len, tok.encode_batch_fast([before + k for k in keys[i:i + SLICE]], add_special_tokens=False))
+        return out
+
+    heads, keys = lengths(firsts, ""), list(new)
+    own = dict(zip(keys, lengths(keys, " ")))
     cache.update((k, v) for k, v in own.items() if len(k) <= 32)
     get = lambda s: cache[s] if s in cache else own[s]
     return [h + sum(map(get, c[1:])) for h, c in zip(heads, cut)]
@@ -133,8 +137,10 @@ def count(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
 
     def run(batches):
         for b in batches:
-            n = count_texts(path, b.column(1).to_pylist())
-            yield pa.record_batch([b.column(0), b.column(2), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+            for lo, hi, _, _ in blocks(b.column(1)):  # Python strings of about 2 MB of text at a time
+                n = count_texts(path, b.column(1).slice(lo, hi - lo).to_pylist())
+                yield pa.record_batch([b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), pa.array(n, pa.int64())],
+                                      names=["doc_id", "n_bytes", "n_tokens"])
 
     whole = src.where(F.length("text") <= chunk + overlap).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long")
     huge = src.where(F.length("text") > chunk + overlap).withColumn("fp", fingerprint(F.col("text")))
