@@ -1,8 +1,7 @@
 """Evaluation and drift metrics.
 
 Curves and rank statistics are computed from a per-score pre-aggregate
-(scores are rounded to 6 decimals, so there are at most 10^6 + 1 of them)
-followed by a distributed running sum (segmented prefix over score chunks),
+followed by a running sum over range partitions of the scores,
 never a global single-partition window over the raw rows.
 """
 
@@ -12,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash64
-from .temporal import segmented_prefix
+from .quantiles import quantiles
+from .scan import prefix
 
 LOG_CLAMP = -100.0      # fixed value: BCE clamps log() at -100
 KS_C_ALPHA = 1.358      # fixed value: two-sample KS critical constant at alpha = 0.05
@@ -23,8 +23,8 @@ def score_table(df: DataFrame, label: str = "label", score: str = "score") -> Da
     """Per distinct score: positives, negatives, and the counts strictly
     below it (``pos_below``, ``neg_below``) via a distributed prefix."""
     g = df.groupBy(score).agg(F.sum(F.col(label).cast("long")).alias("pos"),
-                              F.sum((1 - F.col(label)).cast("long")).alias("neg")).withColumn("_k", F.lit(0))
-    s = segmented_prefix(g, "_k", [score], ["pos", "neg"], chunk_width=0.001)
+                              F.sum((1 - F.col(label)).cast("long")).alias("neg"))
+    s = prefix(g, [score], ["pos", "neg"])
     return s.select(score, "pos", "neg", F.col("_cum_pos").alias("pos_below"), F.col("_cum_neg").alias("neg_below"))
 
 
@@ -82,9 +82,8 @@ def pr_table(df: DataFrame, id_col: str, label: str = "label", score: str = "sco
     bins are accumulated over ``bins`` rows."""
     n = df.count()
     P = df.agg(F.sum(F.col(label).cast("long"))).first()[0] or 0
-    base = df.select(id_col, label, score, (-F.col(score)).alias("_ns"), F.lit(1).cast("long").alias("_one"),
-                     F.lit(0).alias("_k"))
-    r = segmented_prefix(base, "_k", ["_ns", id_col], ["_one"], chunk_width=0.001) \
+    base = df.select(id_col, label, score, (-F.col(score)).alias("_ns"), F.lit(1).cast("long").alias("_one"))
+    r = prefix(base, ["_ns", id_col], ["_one"]) \
         .withColumn("_rank", F.col("_cum__one") + 1)
     r = r.withColumn("bin", F.ceil(F.col("_rank") * F.lit(bins) / F.lit(n)).cast("int"))
     per = r.groupBy("bin").agg(F.count(F.lit(1)).alias("c"), F.min(score).alias("lo"),
@@ -140,7 +139,7 @@ def psi(ref: DataFrame, cur: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Population stability index over reference quantile bins
     (edges = exact reference deciles; proportions floored at 1e-4)."""
     qs = [i / bins for i in range(1, bins)]
-    edges = ref.agg(F.percentile(F.col(col).cast("double"), F.array(*[F.lit(q) for q in qs]))).first()[0]
+    edges = quantiles(ref, [col], qs)[col]
 
     def binned(df):
         x = F.col(col).cast("double")
@@ -165,10 +164,10 @@ def ks(ref: DataFrame, cur: DataFrame, col: str) -> DataFrame:
     u = ref.select(x.alias("x"), F.lit(1).cast("long").alias("a"), F.lit(0).cast("long").alias("b")) \
         .unionByName(cur.select(x.alias("x"), F.lit(0).cast("long").alias("a"), F.lit(1).cast("long").alias("b"))) \
         .where(F.col("x").isNotNull())
-    per = u.groupBy("x").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).withColumn("_k", F.lit(0))
+    per = u.groupBy("x").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     n = per.agg(F.sum("a").alias("na"), F.sum("b").alias("nb")).first()
     na, nb = n["na"], n["nb"]
-    s = segmented_prefix(per, "_k", ["x"], ["a", "b"], chunk_width=1.0)
+    s = prefix(per, ["x"], ["a", "b"])
     d = s.agg(F.max(F.abs((F.col("_cum_a") + F.col("a")) / F.lit(na) - (F.col("_cum_b") + F.col("b")) / F.lit(nb)))
               .alias("ks_d"))
     crit = KS_C_ALPHA * ((na + nb) / (na * nb)) ** 0.5

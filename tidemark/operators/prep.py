@@ -7,6 +7,8 @@ filter that follows is pushed into the parquet scan.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import epoch_millis, from_epoch_seconds, hash64, integral, safe_double, safe_long
 from ..session import checkpoint_dir
+from .quantiles import quantiles
 
 TS_NAME_CANDIDATES = ["timestamp", "time", "ts", "created_at", "created", "date", "datetime"]  # fixed values
 
@@ -228,21 +231,31 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 def describe_numeric(df: DataFrame, cols, approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation),
-    max per numeric column.  ``approx=True`` uses percentile_approx, whose
-    memory does not grow with the number of distinct values."""
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        q = (F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy) if approx
-             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-        aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                     F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("p25"),
-                     F.col(f"q{i}")[1].alias("p50"), F.col(f"q{i}")[2].alias("p75"), F.col(f"hi{i}").alias("max"))
-            for i, c in enumerate(cols)]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    max per numeric column.  Of integer columns the mean and the std come from
+    exact sums of the distances from the least value.  ``approx=True`` uses
+    percentile_approx for the quartiles."""
+    kinds = dict(df.dtypes)
+    whole = [c for c in cols if kinds[c] in ("tinyint", "smallint", "int", "bigint")]
+    x = {c: F.col(c).cast("double") for c in cols}
+    one = df.agg(*[f(x[c]).alias(f"{k}_{c}") for c in cols for k, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_samp), ("lo", F.min), ("hi", F.max))],
+                 *[F.min(c).alias(f"least_{c}") for c in whole]).first()
+    away = {c: (F.col(c).cast("decimal(20,0)") - F.lit(one[f"least_{c}"])).cast("decimal(18,0)") for c in whole if one[f"n_{c}"]}
+    sums = df.agg(F.lit(0).alias("_"), *[f(d).alias(f"{k}_{c}") for c, d in away.items() for k, f in (("a", F.try_sum), ("b", lambda d: F.try_sum(d * d)))]).first()
+    qs = [0.25, 0.5, 0.75]
+    if approx:
+        got = df.agg(*[F.percentile_approx(x[c], qs, accuracy).alias(c) for c in cols]).first()
+        parts = {c: got[c] or [None] * 3 for c in cols}
+    else:
+        parts = quantiles(df, cols, qs)
+    rows = []
+    for c in cols:
+        n, mean, std = one[f"n_{c}"], one[f"m_{c}"], one[f"s_{c}"]
+        if c in away and sums[f"b_{c}"] is not None:  # None: beyond 38 digits
+            a, b = int(sums[f"a_{c}"]), int(sums[f"b_{c}"])
+            mean = float(one[f"least_{c}"] + Fraction(a, n))
+            std = math.sqrt(Fraction(n * b - a * a, n * (n - 1))) if n > 1 else None
+        rows.append((c, n, mean, std, one[f"lo_{c}"], *parts[c], one[f"hi_{c}"]))
+    return df.sparkSession.createDataFrame(rows, "column string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double")
 
 
 def key_duplicates(df: DataFrame, keys) -> DataFrame:

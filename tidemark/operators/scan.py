@@ -154,3 +154,11 @@ def trailing_totals(df: DataFrame, key: str, at: str, deltas: dict[str, Column],
     run = run.select(F.col("_k"), F.col("_t"), *[F.col(f"_cum__{n}_{w}").cast(done.schema[f"{n}_{w}"].dataType).alias(f"{n}_{w}") for n, w in names])
     got = hot.select(*df.columns).join(run, F.col(key).eqNullSafe(F.col("_k")) & (F.col(at) == F.col("_t")), "left")
     return done.unionByName(got.select(*df.columns, *[f"{n}_{w}" for n, w in names]))
+
+
+def running(df: DataFrame, key: str, order, values, rows: int = SEGMENT_ROWS) -> DataFrame:
+    """``prefix`` by key: plain windows, and segments for hot keys."""
+    cold, hot = split_hot(df, key, rows)
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    done = cold.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_cum_{v}") for v in values])
+    return done if hot is None else done.unionByName(prefix(hot, order, values, key))

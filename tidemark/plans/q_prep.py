@@ -284,8 +284,12 @@ def column_profile(spark, sf_dir):
 def _describe_sql():
     parts = []
     for c, src in (("rating", "L"), ("timestamp", "L"), ("value", "events")):
+        std = f'stddev_samp("{c}")'
+        if c == "timestamp":  # integers: exact sums of the distances from the least value
+            d = f'("{c}" - (SELECT min("{c}") FROM {src}))::HUGEINT'
+            std = f'sqrt((count("{c}") * sum({d} * {d}) - sum({d}) * sum({d}))::DOUBLE / (count("{c}") * (count("{c}") - 1))::DOUBLE)'
         parts.append(f"""SELECT '{c}' AS "column", count("{c}") AS count, round(avg("{c}"), 6) AS mean,
-  round(stddev_samp("{c}"), 6) AS std, min("{c}")::DOUBLE AS min, round(quantile_cont("{c}", 0.25), 6) AS p25,
+  round({std}, 6) AS std, min("{c}")::DOUBLE AS min, round(quantile_cont("{c}", 0.25), 6) AS p25,
   round(quantile_cont("{c}", 0.5), 6) AS p50, round(quantile_cont("{c}", 0.75), 6) AS p75,
   max("{c}")::DOUBLE AS max FROM {src}""")
     return with_ctes(L_SQL) + "\nUNION ALL\n".join(parts)
