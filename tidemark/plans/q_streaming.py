@@ -17,6 +17,8 @@ from .q_temporal import user_stats_sql
 from .registry import query, with_ctes
 
 SLICES = 3
+LATENESS = "45 days"  # the arrival files bring a month newest first
+BUCKETS = 16
 
 
 def _bodies(spark, sf_dir):
@@ -72,7 +74,7 @@ def _write_event_files(spark, sf_dir, fmt: str = "csv"):
     src = _slice(src, "event_timestamp").drop("event_timestamp")
     path = scratch_path(spark, "arrivals")
     for i in list(range(SLICES - 1, -1, -1)) + [0]:
-        part = src.where(F.col("_slice") == i).drop("_slice").coalesce(1)
+        part = src.where(F.col("_slice") == i).drop("_slice")
         if fmt == "csv":
             part.write.mode("append").option("header", True).csv(path)
         else:
@@ -91,8 +93,7 @@ def stream_cdc_csv(spark, sf_dir):
     """CSV change files read as a stream (dedup of redelivered rows within the watermark)."""
     src = _write_event_files(spark, sf_dir)
     out = scratch_path(spark, "cdc-out")
-    s = _read_events_stream(spark, src).withColumn("_et", F.col("event_timestamp").cast("timestamp")) \
-        .withWatermark("_et", "3650 days").dropDuplicatesWithinWatermark(["userId", "movieId", "_et"]).drop("_et")
+    s = C.without_redelivered(_read_events_stream(spark, src), LATENESS)
     C.run_available(s.writeStream.format("parquet").option("path", out)
                     .option("checkpointLocation", scratch_path(spark, "ckpt")))
     return spark.read.parquet(out)
@@ -115,14 +116,13 @@ SELECT userId, event_timestamp, array_to_string(list_transform(items, lambda x:
 FROM G""", "streaming")
 def stream_user_sequence(spark, sf_dir):
     """Stateful last-10 per user (event-time merge, redelivery-safe),
-    upserted into a versioned online snapshot by foreachBatch."""
+    upserted into a bucketed online table by foreachBatch."""
     src = _write_event_files(spark, sf_dir)
     snap = scratch_path(spark, "user-seq")
-    st = C.user_sequence_state(_read_events_stream(spark, src))
-    st = st.withColumn("event_timestamp", F.timestamp_micros(F.element_at("ts_us", -1)).cast("timestamp_ntz"))
-    C.run_available(st.writeStream.outputMode("update").foreachBatch(C.upsert_versioned(snap, ["userId"], "event_timestamp"))
+    st = C.user_sequence_state(_read_events_stream(spark, src), LATENESS, ttl_days=30)
+    C.run_available(st.writeStream.outputMode("update").foreachBatch(C.upsert_bucketed(snap, ["userId"], C.merge_sequences(), BUCKETS))
                     .option("checkpointLocation", scratch_path(spark, "ckpt")))
-    return C.sequence_features(spark.read.parquet(C.latest_version(spark, snap)))
+    return C.sequence_features(C.read_bucketed(spark, snap))
 
 
 @query("stream_online_snapshot", with_ctes(E_SQL) + """
@@ -133,9 +133,9 @@ def stream_online_snapshot(spark, sf_dir):
     src = _write_event_files(spark, sf_dir)
     snap = scratch_path(spark, "online")
     C.run_available(_read_events_stream(spark, src).writeStream
-                    .foreachBatch(C.upsert_versioned(snap, ["userId"], "event_timestamp"))
+                    .foreachBatch(C.upsert_bucketed(snap, ["userId"], C.latest_row(["userId"], "event_timestamp"), BUCKETS))
                     .option("checkpointLocation", scratch_path(spark, "ckpt")))
-    return spark.read.parquet(C.latest_version(spark, snap)).select("userId", "movieId", "rating", "event_timestamp")
+    return C.read_bucketed(spark, snap).select("userId", "movieId", "rating", "event_timestamp")
 
 
 @query("stream_dead_letter", "SELECT event_id, 'unparseable' AS reason FROM events WHERE event_type = 'error'",
@@ -191,20 +191,18 @@ def stream_user_stats(spark, sf_dir):
 
     def refresh(batch, batch_id):
         spark_ = batch.sparkSession
-        batch = batch.dropDuplicates(["userId", "movieId", "event_timestamp"])
-        batch.write.mode("overwrite").parquet(f"{hist}/batch={batch_id}")
-        h = spark_.read.option("basePath", hist).parquet(hist).where(F.col("batch") <= batch_id).drop("batch") \
-            .dropDuplicates(["userId", "movieId", "event_timestamp"])
+        batch.dropDuplicates(["userId", "movieId", "event_timestamp"]).write.mode("overwrite").parquet(f"{hist}/batch={batch_id}")
+        h = spark_.read.option("basePath", hist).parquet(hist).where(F.col("batch") <= batch_id).drop("batch")
         touched = h.join(batch.select("userId").distinct(), "userId", "left_semi") \
-            .withColumn("rating", F.col("rating").cast("decimal(12,2)"))
+            .dropDuplicates(["userId", "movieId", "event_timestamp"]).withColumn("rating", F.col("rating").cast("decimal(12,2)"))
         st = T.user_rating_stats(touched)
         return P.dedup(st.select("userId", "movieId", "event_timestamp", "user_rating_cnt_90d",
                                  "user_rating_avg_prev_rating_90d"), ["userId"], ["event_timestamp"], "last") \
             .drop("movieId")
     C.run_available(_read_events_stream(spark, src).writeStream
-                    .foreachBatch(C.upsert_versioned(snap, ["userId"], "event_timestamp", transform=refresh))
+                    .foreachBatch(C.upsert_bucketed(snap, ["userId"], C.latest_row(["userId"], "event_timestamp"), BUCKETS, refresh))
                     .option("checkpointLocation", scratch_path(spark, "ckpt")))
-    out = spark.read.parquet(C.latest_version(spark, snap))
+    out = C.read_bucketed(spark, snap)
     return out.select("userId", "event_timestamp", "user_rating_cnt_90d",
                       r6("user_rating_avg_prev_rating_90d").alias("user_rating_avg_prev_rating_90d"))
 
