@@ -41,3 +41,11 @@ def fingerprint(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

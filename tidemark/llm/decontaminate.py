@@ -4,21 +4,24 @@ Items and documents are sets of five-word shingles (lower case, words split at
 ASCII white space).  A document is contaminated by an item if it holds at
 least 0.8 of the item's distinct shingles.
 
-Items are put in size classes (up to 8, 16, 32, ... shingles).  For class u,
-documents are cut into half-overlapping windows of 2u shingles, so that a
+Items are put in size classes (up to 8, 16, 32, ... shingles).  The smallest
+items have too few shingles for signatures: each of their shingles is a key, and
+every shingle of a document is looked up.  For each further class u, documents
+are cut into half-overlapping windows of 2u shingles, so that a
 passage of an item lies in one window and the Jaccard similarity of item and
 window stays above about 0.2 however long the document is.  Items and windows
 get one-permutation MinHash signatures (one hash, ``BINS`` bins); each bin is
-a band of one row.  Windows that share a bin's minimum with an item of the
+a band of one row.  Documents that hold a small item's shingle, windows that share a bin's minimum with an item of the
 class, and documents whose windows together do, are verified against the
 item's shingles in the whole document.
 
-What is broadcast has fixed size: a bitmap of the items' band keys
-(``BITMAP_BITS`` bits).  It only spares windows that match no item; keys that
-pass are joined exactly, so more items cost more rows, not wrong results.
+What is broadcast is a bitmap of the items' keys, 64 bits for each up to
+``MOST_BITS``.  It only spares windows that match no item; keys that pass are
+joined exactly, so more items cost more rows, not wrong results.
 
-Edge cases: null texts, and texts of fewer than five words, have no five-word
-shingle and take no part; items with equal texts and repeated ids or documents
+Edge cases: null texts, and texts without a word, take no part; a text of one to
+four words has one shingle, of all its words, so that such an item is found where
+it is a whole text; items with equal texts and repeated ids or documents
 all count; empty tables give no rows; extra columns are ignored.
 """
 
@@ -29,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fingerprint, stored
+from .common import fingerprint, free_name, stored
 from .textblocks import blocks, mix, shingles, word_hashes, word_spans
 
 BINS = 64
 LEAST_CLASS = 8
-BITMAP_BITS = 1 << 24
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 
 
 def size_class(n: np.ndarray) -> np.ndarray:
@@ -43,12 +46,10 @@ def size_class(n: np.ndarray) -> np.ndarray:
 
 
 def full_shingles(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of the five-word shingles of rows with five words at least."""
+    """(hash, row) of the five-word shingles; a row of one to four words has one."""
     r, s, e = word_spans(buf, offs)
     h, row, _ = shingles(word_hashes(buf, s, e), r)
-    enough = np.bincount(r, minlength=len(offs) - 1) >= 5
-    keep = enough[row]
-    return h[keep], row[keep]
+    return h, row
 
 
 def bin_minima(h: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
@@ -76,8 +77,10 @@ def _items(bench: DataFrame, item_id: str, text: str) -> DataFrame:
                     own = np.unique(h[row == i])
                     if len(own):
                         u = int(size_class(np.array([len(own)]))[0])
-                        low = bin_minima(own, np.zeros(len(own), np.int64), 1)[0]
-                        low = low[low != np.iinfo(np.uint64).max]
+                        low = own
+                        if u > LEAST_CLASS:
+                            low = bin_minima(own, np.zeros(len(own), np.int64), 1)[0]
+                            low = low[low != np.iinfo(np.uint64).max]
                         for k, v in zip(out, (b.column(0)[lo + i].as_py(), u, len(own), keys(low, u).view(np.int64), own.view(np.int64))):
                             out[k].append(v)
                 ids = pa.array(out.pop("item_id"), b.column(0).type)
@@ -90,12 +93,14 @@ def _items(bench: DataFrame, item_id: str, text: str) -> DataFrame:
 
 
 def _bitmap(items: DataFrame) -> np.ndarray:
-    """Bit array of the band keys; positions are made distinct in Spark, so the
-    driver gets at most ``BITMAP_BITS`` of them, in words of 32 bits."""
-    at = items.select(F.explode("keys").alias("k")).select(F.pmod("k", F.lit(BITMAP_BITS)).alias("p")).distinct()
+    """Bit array of the keys; positions are made distinct in Spark, so the driver
+    gets words of 32 bits, no more than the bitmap has."""
+    n = items.agg(F.sum(F.size("keys"))).first()[0]
+    bits = min(max(LEAST_BITS, 1 << int(np.ceil(np.log2(64 * n)))), MOST_BITS)
+    at = items.select(F.explode("keys").alias("k")).select(F.pmod("k", F.lit(bits)).alias("p")).distinct()
     words = at.groupBy((F.col("p") / 32).cast("int").alias("w")).agg(F.sum(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("bits"))
     got = words.toArrow()
-    out = np.zeros(BITMAP_BITS // 32, np.uint32)
+    out = np.zeros(bits // 32, np.uint32)
     out[got.column("w").to_numpy()] = got.column("bits").to_numpy().astype(np.uint32)
     return out
 
@@ -109,7 +114,11 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text
     if not classes:
         return _none(docs, items)
     seen = docs.sparkSession.sparkContext.broadcast(_bitmap(items))
-    mask = np.uint64(BITMAP_BITS - 1)
+
+    def passing(k: np.ndarray) -> np.ndarray:
+        """Which keys the bitmap lets pass."""
+        p = k & np.uint64(len(seen.value) * 32 - 1)
+        return (seen.value[(p >> np.uint64(5)).astype(np.int64)] >> (p & np.uint64(31)).astype(np.uint32)) & 1 == 1
 
     def hits(batches):
         for b in batches:
@@ -119,8 +128,12 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text
                     continue
                 first = np.searchsorted(row, np.arange(hi - lo))
                 at = np.arange(len(h)) - first[row]
-                who, what = [], []
-                for u in classes:
+                who, what = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+                if classes[0] == LEAST_CLASS:
+                    k = keys(h, LEAST_CLASS)
+                    hit = passing(k)
+                    who.append(row[hit]), what.append(k[hit])
+                for u in classes[classes[0] == LEAST_CLASS:]:
                     half = at // u
                     new = np.concatenate(([True], (row[1:] != row[:-1]) | (half[1:] != half[:-1])))
                     group = np.cumsum(new) - 1
@@ -131,8 +144,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text
                     two[:-1][joined] = np.minimum(low[:-1][joined], low[1:][joined])
                     w, c = np.nonzero(two != np.iinfo(np.uint64).max)
                     k = keys(two[w, c], u)
-                    p = k & mask
-                    hit = (seen.value[(p >> np.uint64(5)).astype(np.int64)] >> (p & np.uint64(31)).astype(np.uint32)) & 1 == 1
+                    hit = passing(k)
                     pair = np.unique(np.column_stack([own[w[hit]].astype(np.uint64), k[hit]]), axis=0)
                     who.append(pair[:, 0].astype(np.int64)), what.append(pair[:, 1])
                 who, what = np.concatenate(who), np.concatenate(what)
@@ -175,6 +187,7 @@ def report(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
 
 def clean(docs: DataFrame, bench: DataFrame, text: str = "text", threshold: float = 0.8) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item."""
-    hit = stored(contaminated(docs, bench, text=text, threshold=threshold)).select(F.col("fp").alias("_hit")).distinct()
+    name = free_name(docs, "_hit")
+    hit = stored(contaminated(docs, bench, text=text, threshold=threshold)).select(F.col("fp").alias(name)).distinct()
     own = fingerprint(F.col(text).cast("string"))
-    return docs.join(hit, own == F.col("_hit"), "left_anti")
+    return docs.join(hit, own == F.col(name), "left_anti")

@@ -8,7 +8,9 @@ into blocks of about ``query_rows``.
 1. Each query's best k among the longest vectors (whole buckets from the top
    until ``seed_rows``, capped at a block of each bucket) give a lower bound
    theta on its k-th score.
-2. A query meets only buckets with |q| * (largest norm) >= theta.
+2. A query meets only buckets with |q| * (largest norm) >= theta.  Queries of
+   like theta / |q| share blocks, and vectors are copied only to the blocks of
+   queries that their bucket is left for.
 3. In a block, theta gives the query's local cosine threshold
    t = theta / (|q| * largest norm of the block).  If t is at least
    ``coordinate_from``, candidates are pruned by coordinates: a vector with a
@@ -19,9 +21,9 @@ into blocks of about ``query_rows``.
    best k of each query, ties to the smaller id, and the best k of those are kept.
 
 Edge cases: vectors that are null, empty, or hold a null or non-finite
-component take no part, nor do rows with a null id; an id on several rows
-counts once, with its greatest vector in array order; vectors meet only vectors
-of the same dimension; zero vectors count (all products are 0); an empty table
+component take no part, nor do rows with a null id; every row is a candidate,
+but for rows with the query's own id; an id on several query rows gets the best of
+all of them; vectors meet only vectors of the same dimension; zero vectors count (all products are 0); an empty table
 gives no rows; fewer than k candidates are all returned; other columns are
 ignored.  Scores must fit a long.
 """
@@ -46,9 +48,8 @@ def integers(vec: Column, scale: float = 64.0) -> Column:
 
 
 def vectors(table: DataFrame, vec_id: str, vec: str, ratio: float) -> DataFrame:
-    """(vec_id, v, dim, norm, bucket), an id once."""
+    """(vec_id, v, dim, norm, bucket) of every row that takes part."""
     v = table.select(F.col(vec_id).cast("long").alias("vec_id"), integers(F.col(vec)).alias("v")).where("vec_id is not null and v is not null")
-    v = v.groupBy("vec_id").agg(F.max("v").alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     v = v.select("vec_id", "v", F.size("v").alias("dim"), norm.alias("norm"))
     return v.withColumn("bucket", F.when(F.col("norm") > 0, F.floor(F.log("norm") / float(np.log(ratio))).cast("int")).otherwise(F.lit(-1)))
@@ -135,9 +136,8 @@ def topk(table: DataFrame, is_query: Column, vec_id: str = "vec_id", vec: str =
         "dim int, bucket int, blocks int, top double, seed boolean")
     cand = v.join(F.broadcast(cells.select("dim", "bucket", "blocks", "seed")), ["dim", "bucket"]).select(
         "dim", "bucket", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), "vec_id", "v", "seed")
-    n_qb = -(-n_query // query_rows)
-    query = v.where(is_query).select(F.col("vec_id").alias("qid"), F.col("v").alias("qv"), F.col("norm").alias("qn"), F.col("dim").alias("dim"),
-                                     F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(n_qb)).cast("int").alias("qb"))
+    query = v.where(is_query).select(F.col("vec_id").alias("qid"), F.col("v").alias("qv"), F.col("norm").alias("qn"), F.col("dim").alias("dim"))
+    hashed = lambda n: F.pmod(F.xxhash64("qid", F.lit(1)), n).cast("int").alias("qb")
 
     def task(key, left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
@@ -148,20 +148,26 @@ def topk(table: DataFrame, is_query: Column, vec_id: str = "vec_id", vec: str =
         return pa.table({"query_id": cat([np.full(len(c), qid[i]) for i, c, _ in rows]), "vec_id": cat([c for _, c, _ in rows]), "score": cat([s for _, _, s in rows])})
 
     def meet(q: DataFrame, c: DataFrame) -> DataFrame:
-        """Top k of each (query block, candidate block) that has queries."""
-        key = ["dim", "bucket", "block", "qb"]
-        c = c.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))))
+        """Top k of each block of candidates and block of queries that meet."""
+        key = ["dim", "bucket", "block", "level", "qb"]
+        q = stored(q, "topk-asked")
+        c = c.join(q.select(*[F.col(x).alias(x) for x in key]).distinct(), ["dim", "bucket", "block"])
         return q.groupBy(*key).cogroup(c.groupBy(*key)).applyInArrow(task, "query_id long, vec_id long, score long")
 
-    spots = cells.select("dim", "bucket", "top", "seed", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    first = query.withColumn("theta", F.lit(NO_BOUND)).join(spots.where("seed and block = 0").select("dim", "bucket", "block"), "dim")
+    seed_cells = F.broadcast(cells.where("seed").select("dim", "bucket", F.lit(0).alias("block")))  # a row a bucket at most, like cells
+    first = query.select("*", F.lit(NO_BOUND).alias("theta"), F.lit(0).alias("level"), hashed(F.lit(-(-n_query // query_rows)))).join(seed_cells, "dim")
     found = meet(first, cand.where("seed and block = 0"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     theta = stored(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select(F.col("query_id").alias("qid"), F.col("score").alias("theta")), "topk-theta")
     bound = query.join(theta, "qid", "left").withColumn("theta", F.coalesce("theta", F.lit(NO_BOUND)))
-    # A query's list of buckets is made from the few cells, then joined to blocks.
-    bound = bound.join(F.broadcast(spots.select("dim", "bucket", "block", "top")), "dim").where(F.col("qn") * F.col("top") * (1 + 1e-9) >= F.col("theta"))
-    ranked = meet(bound.drop("top"), cand).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    level = F.when((F.col("theta") > 0) & (F.col("qn") > 0), F.floor(F.log(F.col("theta") / F.col("qn")) / float(np.log(ratio))).cast("int")).otherwise(F.lit(-(1 << 30)))
+    bound = stored(bound.withColumn("level", level), "topk-bound")
+    # levels are powers of ``ratio``, like buckets
+    levels = bound.groupBy("level").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("parts"))
+    bound = bound.join(levels, "level").select("*", hashed(F.col("parts"))).drop("parts")
+    bound = bound.join(F.broadcast(cells.select("dim", "bucket", "blocks", "top")), "dim").where(F.col("qn") * F.col("top") * (1 + 1e-9) >= F.col("theta"))
+    bound = bound.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("top", "blocks")
+    ranked = meet(bound, cand).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
