@@ -1,16 +1,19 @@
 """Item feature pipelines with fit/transform split.
 
 Fitted state is always a small DataFrame (vocabulary with idf, feature
-moments); transforms are joins against it.  Vocabularies are capped by
-construction (``max_features``), which is what makes broadcasting them safe.
+moments); transforms are joins against it, broadcast or not by measured size.
 Features are kept sparse in long form ``(item, feature, value)``.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 # fixed values: the title vectorizer's token rule (two or more word characters)
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 
@@ -39,7 +42,7 @@ def fit_tfidf(df: DataFrame, doc_col: str, text_col: str, min_df: int = 5, max_f
 
 def transform_tfidf(df: DataFrame, vocab: DataFrame, doc_col: str, text_col: str) -> DataFrame:
     """M5 transform: L2-normalised tf * idf per document, sparse long form."""
-    w = title_terms(df, doc_col, text_col).join(F.broadcast(vocab.select("term", "idf")), "term") \
+    w = title_terms(df, doc_col, text_col).join(vocab.select("term", "idf"), "term") \
         .select(doc_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = w.groupBy(doc_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
     return w.join(norm, doc_col).select(doc_col, "term", (F.col("w") / F.col("_norm")).alias("tfidf"))
@@ -83,19 +86,73 @@ def assemble_sparse(parts) -> DataFrame:
     return out
 
 
-def scale_sparse(feats: DataFrame, n_items: int) -> DataFrame:
-    """M9 outer scaler over the (dense) item x feature matrix, computed from
-    the sparse entries: absent entries are zeros, so
-    mean = sum/n and var = sumsq/n - mean^2.  Returns scaled present entries
-    and each feature's value for absent entries (-mean/std)."""
+def sparse_moments(feats: DataFrame, n_items: int) -> DataFrame:
+    """M9 outer fit: (feature, mean, std) over the (dense) item x feature matrix,
+    from the sparse entries: absent entries are zeros, so mean = sum/n and
+    var = sumsq/n - mean^2; zero variance -> 1."""
     mom = feats.groupBy("feature").agg((F.sum("value") / n_items).alias("mean"),
                                        (F.sum(F.col("value") * F.col("value")) / n_items).alias("ex2"))
-    mom = mom.withColumn("std", F.sqrt(F.greatest(F.col("ex2") - F.col("mean") * F.col("mean"), F.lit(0.0))))
-    mom = mom.withColumn("std", F.when(F.col("std") <= 1e-12, F.lit(1.0)).otherwise(F.col("std")))
-    scaled = feats.join(mom, "feature").select("movieId", "feature",
-                                               ((F.col("value") - F.col("mean")) / F.col("std")).alias("value"),
-                                               (-F.col("mean") / F.col("std")).alias("absent_value"))
-    return scaled
+    sd = F.sqrt(F.greatest(F.col("ex2") - F.col("mean") * F.col("mean"), F.lit(0.0)))
+    return mom.select("feature", "mean", F.when(sd <= 1e-12, F.lit(1.0)).otherwise(sd).alias("std"))
+
+
+def apply_moments(feats: DataFrame, moments: DataFrame) -> DataFrame:
+    """M9 outer transform: scaled present entries of known features, and each
+    feature's value for absent entries (-mean/std)."""
+    return feats.join(moments, "feature").select("movieId", "feature", ((F.col("value") - F.col("mean")) / F.col("std")).alias("value"),
+                                                 (-F.col("mean") / F.col("std")).alias("absent_value"))
+
+
+def scale_sparse(feats: DataFrame, n_items: int) -> DataFrame:
+    """M9 outer scaler, fitted on what it transforms."""
+    return apply_moments(feats, sparse_moments(feats, n_items))
+
+
+def one_row(rows: DataFrame, key: str = "movieId", ts: str = "event_timestamp", which: str = "first") -> DataFrame:
+    """Ledger Q7: the first (the reference's choice) or last row of each item."""
+    pick = {"first": F.min_by, "last": F.max_by}[which]
+    rest = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(pick(F.struct(*rest), F.struct(ts, *[c for c in rest if c != ts])).alias("_v")).select(key, "_v.*")
+
+
+@dataclass(frozen=True)
+class ItemPipeline:
+    """M8/M9 as fitted tables: title vocabulary with idf, moments of the
+    aggregates, moments of all features.  Rows have movieId, title, genres and the
+    aggregates; what a fit hasn't seen (terms, genres) is left out."""
+
+    vocab: DataFrame
+    inner: DataFrame
+    outer: DataFrame
+    stats: tuple
+
+    @staticmethod
+    def _features(rows: DataFrame, vocab: DataFrame, inner: DataFrame, stats) -> DataFrame:
+        scaled = transform_scaler(rows.select("movieId", *stats), inner, stats)
+        long = scaled.select("movieId", F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("v")) for c in stats])).alias("a")).select("movieId", "a.*")
+        return assemble_sparse([("title", transform_tfidf(rows, vocab, "movieId", "title"), "movieId", "term", "tfidf"),
+                                ("genre", genre_counts(rows, "movieId", "genres"), "movieId", "genre", "count"), ("agg", long, "movieId", "name", "v")])
+
+    @classmethod
+    def fit(cls, rows: DataFrame, stats, min_df: int = 5, max_features: int = 1000) -> ItemPipeline:
+        """``rows``: one for each item, see :func:`one_row`."""
+        rows, stats = written(rows, "pipeline-rows"), tuple(stats)
+        vocab = written(fit_tfidf(rows, "movieId", "title", min_df, max_features), "pipeline-vocab")
+        inner = written(fit_scaler(rows, stats), "pipeline-inner")
+        return cls(vocab, inner, sparse_moments(cls._features(rows, vocab, inner, stats), rows.count()), stats)
+
+    def save(self, path: str) -> None:
+        for name in ("vocab", "inner", "outer"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+    @classmethod
+    def load(cls, spark, path: str) -> ItemPipeline:
+        vocab, inner, outer = (spark.read.parquet(f"{path}/{n}") for n in ("vocab", "inner", "outer"))
+        return cls(vocab, inner, outer, tuple(c[:-len("__mean")] for c in inner.columns if c.endswith("__mean")))
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """(movieId, feature, value, absent_value) of rows, seen or not."""
+        return apply_moments(self._features(rows, self.vocab, self.inner, self.stats), self.outer)
 
 
 def catalog(id_map: DataFrame, first_meta: DataFrame, item_col: str = "movieId") -> DataFrame:

@@ -9,6 +9,7 @@ from ..operators import features as X
 from ..operators import ids as I
 from ..operators import store as S
 from ..operators import temporal as T
+from ..session import scratch_path
 from ..sources.adapters import ITEMS_SQL, L_SQL, VEC_SQL, interactions_L, item_vectors, items_part
 from .q_temporal import STAT_COLS, _movie_stats_cte, _movie_stats_r6
 from .registry import query, with_ctes
@@ -75,6 +76,47 @@ def standard_scale(spark, sf_dir):
     return out.select("movieId", "event_timestamp", *[r6(c).alias(c) for c in STAT_COLS])
 
 
+@query("standard_scale_first", with_ctes(L_SQL, _movie_stats_cte(), _scale_sql("MS", "SC").replace("arg_max(", "arg_min(").replace(
+    "max(event_timestamp) AS event_timestamp", "min(event_timestamp) AS event_timestamp")) + f"""
+SELECT movieId, event_timestamp, {', '.join(f'round({c}, 6) AS {c}' for c in STAT_COLS)} FROM SC""", "features")
+def standard_scale_first(spark, sf_dir):
+    """M8 as the reference fits it (Q7): on the first row of each movie, whose
+    windows are empty, so that the scaler changes nothing."""
+    ms = _movie_stats_r6(spark, sf_dir).select("movieId", "event_timestamp", *STAT_COLS)
+    out = X.transform_scaler(ms, X.fit_scaler(X.one_row(ms), STAT_COLS), STAT_COLS)
+    return out.select("movieId", "event_timestamp", *[r6(c).alias(c) for c in STAT_COLS])
+
+
+_PIPE_SQL = with_ctes(L_SQL, ITEMS_SQL, _movie_stats_cte(), f"""CUT AS (SELECT max(event_timestamp) - INTERVAL 90 DAY AS cut FROM L),
+FITR AS (SELECT movieId, {', '.join(f'arg_min({c}, event_timestamp) AS {c}' for c in STAT_COLS)} FROM MS, CUT WHERE event_timestamp < cut GROUP BY movieId),
+VALR AS (SELECT movieId, {', '.join(f'arg_max({c}, event_timestamp) AS {c}' for c in STAT_COLS)} FROM MS, CUT WHERE event_timestamp >= cut GROUP BY movieId)""",
+    _TFIDF_SQL.replace("FROM TF GROUP BY term", "FROM TF WHERE movieId IN (SELECT movieId FROM FITR) GROUP BY term")
+              .replace("count(*) AS n FROM ITEMS", "count(*) AS n FROM FITR"), _GENRE_SQL,
+    "MOM AS (SELECT " + ", ".join(f"avg({c}) AS {c}__m, CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS {c}__s"
+                                  for c in STAT_COLS) + " FROM FITR)",
+    "FEATS AS (SELECT movieId, 'title:' || term AS feature, tfidf AS value FROM TFIDF UNION ALL SELECT movieId, 'genre:' || genre, \"count\"::DOUBLE FROM GC)",
+    *[f"{name}F AS (SELECT FEATS.* FROM FEATS WHERE movieId IN (SELECT movieId FROM {name})" + "".join(
+        f" UNION ALL SELECT movieId, 'agg:{c}', ({c} - {c}__m) / {c}__s FROM {name}, MOM" for c in STAT_COLS) + ")" for name in ("FITR", "VALR")],
+    """FS AS (SELECT feature, mean, CASE WHEN sqrt(greatest(ex2 - mean * mean, 0)) <= 1e-12 THEN 1.0 ELSE sqrt(greatest(ex2 - mean * mean, 0)) END AS sd
+  FROM (SELECT feature, sum(value) / n AS mean, sum(value * value) / n AS ex2 FROM FITRF, (SELECT count(*) AS n FROM FITR) GROUP BY feature, n))""")
+
+
+@query("item_pipeline", _PIPE_SQL + """
+SELECT VALRF.movieId, VALRF.feature, round((VALRF.value - mean) / sd, 6) AS value, round(-mean / sd, 6) AS absent_value
+FROM VALRF JOIN FS USING (feature)""", "features")
+def item_pipeline(spark, sf_dir):
+    """M8/M9: fitted on each movie's first row before the last 90 days, saved,
+    loaded, and applied to each movie's last row of those days."""
+    ms = _movie_stats_r6(spark, sf_dir)
+    cut = F.lit(interactions_L(spark, sf_dir).agg(F.max("event_timestamp") - F.expr("INTERVAL 90 DAYS")).first()[0])
+    rows = ms.join(items_part(spark, sf_dir).select("movieId", "title", "genres"), "movieId") if "title" not in ms.columns else ms
+    path = scratch_path(spark, "item-pipeline")
+    X.ItemPipeline.fit(X.one_row(rows.where(F.col("event_timestamp") < cut)), STAT_COLS).save(path)
+    last = X.one_row(rows.where(F.col("event_timestamp") >= cut), which="last")
+    out = X.ItemPipeline.load(spark, path).transform(last)
+    return out.select("movieId", "feature", r6("value").alias("value"), r6("absent_value").alias("absent_value"))
+
+
 _ITEM_MATRIX_SQL = with_ctes(L_SQL, ITEMS_SQL, _TFIDF_SQL, _GENRE_SQL, _movie_stats_cte(),
                              _scale_sql("MSL", "SCL"), """FEATS AS (
   SELECT movieId, 'title:' || term AS feature, tfidf AS value FROM TFIDF
