@@ -32,13 +32,23 @@ def dealt(df: DataFrame, order) -> DataFrame:
     return written(seq.withColumn("_seg", F.shiftright("_pos", 33)), "dealt")
 
 
-def split_hot(df: DataFrame, key: str, rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of other keys, rows of keys with more than ``rows`` rows or None).
-    A null key is a key like any other."""
+def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame | None:
+    """(_hot): the keys with more than ``rows`` rows, None if there are none.  A
+    null key is a key like any other."""
     hot = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select("_hot")
-    if hot.isEmpty():
+    return None if hot.isEmpty() else written(hot, "hot-keys")
+
+
+COUNTED = "count"  # let the scan count its own keys
+
+
+def split_hot(df: DataFrame, key: str, rows: int, hot=COUNTED) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of other keys, rows of hot keys or None).  ``hot``: what
+    :func:`hot_keys` gave for the same keys, where that is known."""
+    if isinstance(hot, str):
+        hot = hot_keys(df, key, rows)
+    if hot is None:
         return df, None
-    hot = written(hot, "hot-keys")
     same = F.col(key).eqNullSafe(F.col("_hot"))
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
@@ -95,11 +105,11 @@ def last_before(df: DataFrame, key: str, order, value: str, out: str, rows: int
     return done.unionByName(got.select(*df.columns, F.coalesce(out, "_carried").alias(out)))
 
 
-def last_rows(df: DataFrame, key: str, order, item: Column, k: int, out: str, rows: int = SEGMENT_ROWS) -> DataFrame:
+def last_rows(df: DataFrame, key: str, order, item: Column, k: int, out: str, rows: int = SEGMENT_ROWS, hot=COUNTED) -> DataFrame:
     """Adds ``out``: ``item`` of the ``k`` rows before each row of the same key in
     ``order``, oldest first."""
     frame = lambda w: w.rowsBetween(-k, -1)
-    cold, hot = split_hot(df, key, rows)
+    cold, hot = split_hot(df, key, rows, hot)
     done = cold.withColumn(out, F.collect_list(item).over(frame(Window.partitionBy(key).orderBy(*order))))
     if hot is None:
         return done
@@ -117,7 +127,7 @@ def last_rows(df: DataFrame, key: str, order, item: Column, k: int, out: str, ro
 
 
 def trailing_totals(df: DataFrame, key: str, at: str, deltas: dict[str, Column], widths: dict[str, int],
-                    rows: int = SEGMENT_ROWS) -> DataFrame:
+                    rows: int = SEGMENT_ROWS, hot=COUNTED) -> DataFrame:
     """Adds ``<name>_<width's name>`` for every delta and width: the delta's total
     over the rows of the same key with ``at`` in [at - width, at), an integer.
 
@@ -143,7 +153,7 @@ def trailing_totals(df: DataFrame, key: str, at: str, deltas: dict[str, Column],
     def total(n, w, frame):
         return F.coalesce(F.sum(f"_{n}_{w}").over(frame), F.lit(0)).alias(f"{n}_{w}")
 
-    cold, hot = split_hot(base, key, rows)
+    cold, hot = split_hot(base, key, rows, hot)
     earlier = Window.partitionBy("_k").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
     done = stream(cold, True).select("_row", *[total(n, w, earlier) for n, w in names]).where("_row is not null")
     done = done.select("_row.*", *[f"{n}_{w}" for n, w in names])

@@ -19,7 +19,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.columns import (PAD, bucket_list, epoch_millis, iso_micros,
                                  pad_left)
-from .scan import SEGMENT_ROWS, last_before, last_rows, trailing_totals
+from .scan import COUNTED, SEGMENT_ROWS, hot_keys, last_before, last_rows, trailing_totals
 
 DAY_MS = 86_400_000
 
@@ -38,9 +38,9 @@ def _exact(df: DataFrame, value: str) -> str:
     return "decimal(38,18)" if isinstance(kind, (FloatType, DoubleType)) else kind.simpleString()
 
 
-def _scan_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, rows: int) -> DataFrame:
+def _scan_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, rows: int, hot) -> DataFrame:
     deltas = {"c": F.col(value).isNotNull().cast("long"), "s": F.coalesce(F.col(value), F.lit(0)).cast(_exact(df, value))}
-    got = trailing_totals(df, key, ms, deltas, {f"{d}d": d * DAY_MS for d in windows}, rows)
+    got = trailing_totals(df, key, ms, deltas, {f"{d}d": d * DAY_MS for d in windows}, rows, hot)
     cols = []
     for d in windows:
         c, total = F.col(f"c_{d}d"), F.col(f"s_{d}d").cast("double")
@@ -114,13 +114,13 @@ def _prefix_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, u
 
 
 def trailing_stats(df: DataFrame, key: str, ts: str, value: str, windows, name,
-                   strategy: str = "scan", uniq=None, rows: int = SEGMENT_ROWS) -> DataFrame:
+                   strategy: str = "scan", uniq=None, rows: int = SEGMENT_ROWS, hot=COUNTED) -> DataFrame:
     """Add trailing count/avg columns for each window (days) to ``df``.
     ``uniq``: columns unique per row (needed by the prefix strategy); ``rows``:
     keys with more are scanned in segments."""
     base = df.withColumn("_ms", epoch_millis(ts))
     if strategy in ("scan", "range"):  # range: the former name
-        out = _scan_stats(base, key, "_ms", value, windows, name, rows)
+        out = _scan_stats(base, key, "_ms", value, windows, name, rows, hot)
     elif strategy == "prefix":
         out = _prefix_stats(base, key, "_ms", value, windows, name, uniq or [key, ts])
     else:
@@ -152,11 +152,12 @@ def user_rating_stats(events: DataFrame, user_col: str = "userId", item_col: str
     excluded) and the previous ``seq_len`` events (positional, so same-instant
     predecessors are included; order pinned to (time, item))."""
     name = lambda kind, d: (f"user_rating_cnt_{d}d" if kind == "cnt" else f"user_rating_avg_prev_rating_{d}d")
+    hot = hot_keys(events, user_col, rows)  # counted once, for both scans
     st = trailing_stats(events.select(user_col, item_col, ts_col, rating_col), user_col, ts_col, rating_col,
-                        [window_days], name, strategy, uniq=[user_col, item_col, ts_col], rows=rows) \
+                        [window_days], name, strategy, uniq=[user_col, item_col, ts_col], rows=rows, hot=hot) \
         .withColumn("_ms", epoch_millis(ts_col))
     item = F.struct(F.col("_ms").alias("ms"), F.col(item_col).alias("item"), F.col(ts_col).alias("ts"))
-    st = last_rows(st, user_col, ["_ms", item_col], item, seq_len, "_prev", rows)
+    st = last_rows(st, user_col, ["_ms", item_col], item, seq_len, "_prev", rows, hot)
     secs = F.transform("_prev", lambda x: F.floor(x["ms"] / 1000).cast("long"))
     seq_ts = pad_left(secs, seq_len)
     return st.select(
