@@ -4,29 +4,38 @@ Spans are half-open, in code points.  Base spans (leftmost, non-overlapping
 per kind; failing matches are dropped without a retry): email, ip (parts at
 most 255), card (13 to 19 digits that pass Luhn), phone (+, 9 to 15 digits).
 
-High-recall generators propose overlapping candidates: local phone shapes,
-digit runs, dotted numbers, spelled-out addresses, national numbers.  A
-candidate's features are its generator, its shape and its context, never the
-checks that make a base span.  Boosted trees of depth 2 learn from all
-candidates of the corpus whether a candidate overlaps a base span (weak labels,
-so what they add looks and stands like known personal data); a fold of the texts
-calibrates the margins, and candidates with a calibrated probability of at
-least ``precision`` that overlap no base span are added.
+High-recall generators propose overlapping candidates: written-out and
+bracketed addresses, defanged dotted numbers, numbers with any separators, local
+phone shapes, social security and bank account numbers.  A candidate's features
+are its generator, its shape and its context.  Its label is the outcome of a
+rule about what the features do not hold: a known ending, octets in range, the
+Luhn check, a numbering plan, number areas in use, the remainder modulo 97.
+Boosted trees of depth 2 learn from all candidates of the corpus which shapes
+in which contexts pass their rule.  As a rule passes some random strings too
+(``CHANCE``), a fold of the texts calibrates each generator's margins to
+(p - chance) / (1 - chance); candidates of a margin where this reaches
+``precision``, on evidence that chance would give with at most 5 in 100, are
+added when they overlap no base span.  So a shape whose members pass like random
+strings is left alone, also where one of them passes.
 
 Everything is DataFrame expressions.  A tree level is one aggregate of
 gradients by (node, feature, value) over the distinct feature vectors; scoring
 is one expression.  The driver gets these sums, whose number is that of the
-features' values.
+features' values.  Starts of matches are running sums over slices of ``SLICE``
+matches and then over the slices; a candidate meets the base spans of its text
+in windows over both.  Neither takes a substring from a text's start.
 
 Edge cases: a null text counts as empty, without spans; repeated rows and ids
-stay row by row; with candidates of one class only nothing is added; an empty
-table gives no rows; other columns are ignored.
+stay row by row; without enough evidence nothing is added; an empty table gives no
+rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -44,35 +53,62 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _IP_OK = rf"^(?:{_PART}\.){{3}}{_PART}$"
 
+_AT = r"(?:@| ?(?:\[at\]|\(at\)|\[@\]) ?)"
+_DOT = r"(?:\.| ?(?:\[dot\]|\(dot\)|\[\.\]) ?)"
 # Candidate generators: name, pattern, and a cheap test that a text may match.
 GENERATORS = [
-    ("cand_email", r"(?i)(?<![a-z0-9._+-])[a-z0-9._+-]++ ?(?:@|\[at\]|\(at\)) ?[a-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)) ?[a-z0-9-]++)++", r"@|\[at\]|\(at\)|\[AT\]|\(AT\)"),
-    ("cand_dotted", r"(?<![0-9.])[0-9]{1,5}+(?:\.[0-9]{1,5}+){2,7}+(?![0-9])", r"[0-9]\.[0-9]"),
-    ("cand_number", r"(?<![0-9])[0-9](?:[ -]?[0-9]){8,18}+(?![0-9])", r"[0-9]{2}"),
+    ("cand_email", rf"(?i)(?<![a-z0-9._%+-])(?:[a-z0-9._%+-]++{_AT}[a-z0-9-]++(?:{_DOT}[a-z0-9-]++)++|[a-z0-9._%+-]++ at [a-z0-9-]++(?: dot [a-z0-9-]++)++)", r"(?i)@|[\[(]at[\])]| dot "),
+    ("cand_dotted", rf"(?i)(?<![0-9.])[0-9]{{1,5}}+(?:(?:{_DOT}| dot )[0-9]{{1,5}}+){{2,7}}+(?![0-9])", r"(?i)[0-9](?:\.| ?[\[(]| dot )"),
+    ("cand_number", r"(?<![0-9])[0-9](?:[ ./_-]{0,2}[0-9]){12,18}+(?![0-9])", r"[0-9][ ./_-]{0,2}[0-9]"),
     ("cand_phone", r"(?<![0-9])\+?(?:[0-9]{1,3}[ .-])?(?:\([0-9]{2,5}\)|[0-9]{2,5})[ .-][0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])", r"[0-9]{3}"),
-    ("cand_national", r"(?<![A-Z0-9])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Z0-9])", r"[0-9]{2}"),
+    ("cand_ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]{3}-[0-9]{2}-"),
+    ("cand_iban", r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])", r"[A-Z]{2}[0-9]{2}"),
 ]
+# Share of random strings of a generator's shape that pass its rule.
+CHANCE = [0.05, 0.05, 0.1, 0.64, 0.89, 0.01]
+# Endings of mail addresses that count as known.
+ENDINGS = ["com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "io", "co", "ai", "app", "dev", "eu", "us", "uk", "ca", "au", "de", "fr", "es", "it", "nl", "be",
+           "ch", "at", "pt", "pl", "se", "no", "dk", "fi", "ie", "ru", "br", "mx", "ar", "in", "cn", "jp", "kr", "nz", "za"]
 # Words near a candidate, by theme.
 CONTEXT = [r"tel|phone|call|fax|mobil|cell|contact", r"mail|write|address|reach", r"card|visa|master|pay|account|bank|iban",
            r"host|server|ip\b|login|from", r"version|licen|section|chapter|isbn|order|invoice|page|no\."]
 
-_SPAN = "array<struct<s:long,e:long,m:string>>"
+_SPAN = "array<struct<s:long,e:long,m:string,b:string,a:string>>"
+SLICE = 256
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
 
 
 def matches(text: Column, pattern: str, may: Column) -> Column:
-    """All matches of ``pattern`` as structs (s, e, m).  The starts are running
-    sums of the lengths of what is between the matches and of the matches."""
-    pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """All matches of ``pattern`` as structs (s, e, m, b, a): b are up to 24 code
+    points between the match before and this one, a is the one after it ('' if
+    another match follows at once)."""
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
 
-    def step(a: Column, z: Column) -> Column:
-        s = a.at + F.length(z["a"])
-        e = s + F.length(z["m"])
-        return F.struct(e.cast("long").alias("at"), F.when(z["m"].isNull(), a.out).otherwise(
-            F.concat(a.out, F.array(F.struct(s.cast("long").alias("s"), e.cast("long").alias("e"), z["m"].alias("m"))))).alias("out"))
-
-    zipped = F.arrays_zip(pieces.alias("a"), found.alias("m"))
-    all_ = F.aggregate(zipped, zero, step, lambda a: a.out)
+    def step(acc: Column, z: Column) -> Column:
+        s = (acc.at + F.length(z["p"])).cast("long")
+        one = F.struct(s.alias("s"), (s + F.length(z["m"])).cast("long").alias("e"), z["m"].alias("m"),
+                       F.right(z["p"], F.lit(24)).alias("b"), F.left(z["n"], F.lit(1)).alias("a"))
+        return F.struct((s + F.coalesce(F.length(z["m"]), F.lit(0))).cast("long").alias("at"),
+                        F.when(z["m"].isNull(), acc.out).otherwise(F.concat(acc.out, F.array(one))).alias("out"))
+
+    def joined(parts: Column) -> Column:
+        first = F.array(F.lit(0).cast("long"))
+        starts = F.aggregate(parts, first, lambda acc, q: F.concat(acc, F.array(F.element_at(acc, -1) + q.at)))
+        moved = lambda q, d: F.struct((q.s + d).alias("s"), (q.e + d).alias("e"), q.m.alias("m"), q.b.alias("b"), q.a.alias("a"))
+        return _let(starts, lambda at: F.flatten(F.transform(parts, lambda q, i: F.transform(q.out, lambda x: moved(x, at[i])))))
+
+    def sliced(z: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(z) - 1) / SLICE).cast("int")),
+                           lambda k: F.aggregate(F.slice(z, k * SLICE + 1, F.lit(SLICE)), zero, step))
+
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    zipped = _let(found, lambda f: _let(F.split(text, pattern, -1), lambda p: F.transform(
+        p, lambda x, i: F.struct(x.alias("p"), F.get(f, i).alias("m"), F.get(p, i + 1).alias("n")))))
+    all_ = _let(zipped, lambda z: _let(sliced(z), joined))
     return F.when(may, all_).otherwise(F.array().cast(_SPAN))
 
 
@@ -100,24 +136,44 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-N_FEATURES = 9
+N_FEATURES = 10
+
+
+def passes(g: int, m: Column) -> Column:
+    """Whether a match of generator ``g`` passes the rule of its kind."""
+    d = _digits(m)
+    if g == 0:
+        last = F.lower(F.regexp_extract(m, "([A-Za-z0-9-]+)$", 1))
+        return last.isin(ENDINGS) & m.rlike("^[^@\\[( ]*[A-Za-z]")
+    if g == 1:
+        return F.regexp_replace(m, "[^0-9]+", ".").rlike(r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$")
+    if g == 2:
+        return luhn(m)
+    if g == 3:
+        return F.when(F.startswith(m, F.lit("+")), d.rlike("^[1-9][0-9]{8,14}$")).otherwise(d.rlike("^(?:1?[2-9][0-9]{2}[2-9][0-9]{6}|0[1-9][0-9]{7,9})$"))
+    if g == 4:
+        return m.rlike("^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$")
+    bare = F.replace(m, F.lit(" "), F.lit(""))
+    value = lambda c: F.instr(F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), c) - 1
+    turned = F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.left(bare, F.lit(4)))
+    return F.aggregate(F.split(turned, ""), F.lit(0), lambda r, c: F.when(c == "", r).otherwise((r * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97)) == 1
 
 
 def candidates(text: Column) -> Column:
-    """All generators' spans with their features, array of struct(g, s, e, f)."""
+    """All generators' spans with features and label, array of struct(g, s, e, f, y)."""
     def featured(g: int, p: Column) -> Column:
-        before = F.lower(F.substring(text, F.greatest(p.s - 23, F.lit(1)).cast("int"), F.least(p.s, F.lit(24)).cast("int")))
-        prev = F.substring(text, p.s.cast("int"), F.when(p.s > 0, 1).otherwise(0))
-        after = F.substring(text, (p.e + 1).cast("int"), F.lit(1))
+        before, prev = F.lower(p.b), F.right(p.b, F.lit(1))
         kind = lambda c: F.when(c == "", 0).when(c == " ", 1).when(c == "\n", 2).when(c.rlike("[A-Za-z0-9]"), 3).when(c.rlike("[.,;:!?]"), 4).otherwise(5)
         topic = F.coalesce(*[F.when(before.rlike(w), F.lit(i + 1)) for i, w in enumerate(CONTEXT)], F.lit(0))
         nd = F.length(_digits(p.m))
         marks = F.length(F.regexp_replace(p.m, r"[^ .()-]", ""))
-        groups = F.size(F.regexp_extract_all(p.m, F.lit("[0-9]+"), F.lit(0)))
-        longest = F.array_max(F.concat(F.array(F.lit(0)), F.transform(F.regexp_extract_all(p.m, F.lit("[0-9]+"), F.lit(0)), lambda x: F.length(x))))
-        feats = F.array(F.lit(g), F.least(nd, F.lit(24)), F.least(marks, F.lit(12)), F.least(groups, F.lit(8)), F.least(longest, F.lit(20)),
-                        F.least(F.length(p.m) / 4, F.lit(20)).cast("int"), kind(prev), kind(after), topic)
-        return F.struct(F.lit(g).alias("g"), p.s.alias("s"), p.e.alias("e"), F.transform(feats, lambda x: x.cast("int")).alias("f"))
+        runs = F.regexp_extract_all(p.m, F.lit("[0-9]+"), F.lit(0))
+        longest = F.array_max(F.concat(F.array(F.lit(0)), F.transform(runs, lambda x: F.length(x))))
+        signs = sum((F.when(p.m.rlike(x), 1 << i).otherwise(0) for i, x in enumerate([r"\(", r"\.", "-", " ", r"\+", r"[\[_/]"])), F.lit(0))
+        feats = F.array(F.lit(g), F.least(nd, F.lit(24)), F.least(marks, F.lit(12)), F.least(F.size(runs), F.lit(8)), F.least(longest, F.lit(20)),
+                        F.least(F.length(p.m) / 4, F.lit(20)).cast("int"), kind(prev), kind(p.a), topic, signs)
+        return F.struct(F.lit(g).alias("g"), p.s.alias("s"), p.e.alias("e"), F.transform(feats, lambda x: x.cast("int")).alias("f"),
+                        F.coalesce(passes(g, p.m), F.lit(False)).cast("int").alias("y"))
 
     of = lambda g: lambda p: featured(g, p)
     return F.concat(*[F.transform(matches(text, pat, text.rlike(hint)), of(g)) for g, (_, pat, hint) in enumerate(GENERATORS)])
@@ -150,13 +206,13 @@ def _split(rows: list, shrink: float = 1.0) -> tuple:
     return *best, float(leaf)
 
 
-def boost(cand: DataFrame, trees: int = 12, rate: float = 0.4) -> list:
+def boost(cand: DataFrame, trees: int = 16, rate: float = 0.4) -> list:
     """Gradient boosting for ``label`` over (f array<int>, label, n) rows, on
     logistic loss.  Two aggregates a tree."""
     model: list = []
     f = lambda i: F.col("f")[i]
     rows = cand.groupBy("f", "label").agg(F.sum("n").alias("n"))
-    rows = stored(rows, "pii-vectors").coalesce(8)
+    rows = stored(rows, "pii-vectors")
 
     def sums(node: Column) -> dict:
         p = 1 / (1 + F.exp(-F.col("z")))
@@ -181,46 +237,59 @@ def boost(cand: DataFrame, trees: int = 12, rate: float = 0.4) -> list:
     return model
 
 
-def threshold(cand: DataFrame, model: list, precision: float) -> float | None:
-    """The least margin (in tenths) from which the calibrated probability is at
-    least ``precision``; None if there is none."""
+def thresholds(cand: DataFrame, model: list, precision: float) -> dict[int, float]:
+    """By generator, the least margin (in tenths) from which the calibrated
+    probability is at least ``precision``; generators without one are left out."""
     from .quality import isotonic
 
     z = F.floor(_margin(model, lambda i: F.col("f")[i]) * 10).cast("long")
-    got = sorted(tuple(r) for r in cand.groupBy(z.alias("z")).agg(F.sum("n"), F.sum(F.col("n") * F.col("label"))).collect())
-    if not got:
-        return None
-    x, n, pos = map(np.array, zip(*got))
-    knots, p = isotonic(x, n, pos)
-    good = knots[p >= precision]
-    return float(good.min()) / 10 if len(good) else None
+    sums: dict = {}
+    for g, *row in cand.groupBy(F.col("f")[0].alias("g"), z.alias("z")).agg(F.sum("n"), F.sum(F.col("n") * F.col("label"))).collect():
+        sums.setdefault(g, []).append(row)
+    out = {}
+    for g, rows in sums.items():
+        x, n, pos = map(np.array, zip(*sorted(rows)))
+        knots, p = isotonic(x, n, pos)
+        evidence = np.array([n[x >= k].sum() for k in knots])
+        need = max(10, math.log(0.05) / math.log(CHANCE[g]))
+        good = knots[((p - CHANCE[g]) / (1 - CHANCE[g]) >= precision) & (evidence >= need)]
+        if len(good):
+            out[g] = float(good.min()) / 10
+    return out
+
+
+def fit(cand: DataFrame, precision: float = 0.9) -> tuple[list, dict[int, float]]:
+    """Trees and thresholds from (cal, f, label, n) rows."""
+    model = boost(cand.where("not cal"))
+    return model, thresholds(cand.where("cal"), model, precision)
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", precision: float = 0.9) -> DataFrame:
     """(doc_id, email, ip, card, phone, added) for each row of ``docs``: arrays
     of struct(s, e), and for ``added`` of struct(k, s, e), k a generator."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    src = docs.select(F.col(doc_id).alias("doc_id"), t.alias("t"), (F.crc32(t.cast("binary")) % 4 == 0).alias("cal"))
+    src = docs.select(F.col(doc_id).alias("doc_id"), t.alias("t"), (F.crc32(t.cast("binary")) % 4 == 0).alias("cal"), F.monotonically_increasing_id().alias("row"))
     plain = lambda a: F.transform(a, lambda p: F.struct(p.s.alias("s"), p.e.alias("e")))
-    some = F.col("t").rlike(r"[0-9@]|\[at\]|\(at\)|\[AT\]|\(AT\)")
+    some = F.col("t").rlike(r"(?i)[0-9@]|[\[(]at[\])]| dot ")
     none = F.array().cast("array<struct<s:long,e:long>>")
     spans = {k: F.when(some, plain(v)).otherwise(none) for k, v in base_spans(F.col("t")).items()}
-    cand = F.when(some, candidates(F.col("t"))).otherwise(F.array().cast("array<struct<g:int,s:long,e:long,f:array<int>>>"))
-    rows = stored(src.select("doc_id", "cal", *[v.alias(k) for k, v in spans.items()], cand.alias("cand")), "pii-rows")
-    known = F.concat(*KINDS)
-    hit = lambda c: F.exists(known, lambda b: (b.s < c.e) & (c.s < b.e))
-    each = (rows.where(F.size("cand") > 0)
-            .select("cal", F.explode(F.transform("cand", lambda c: F.struct(c.f.alias("f"), hit(c).cast("int").alias("label")))).alias("c"))
-            .groupBy("cal", F.col("c.f").alias("f"), F.col("c.label").alias("label")).agg(F.count("*").alias("n")))
-    each = stored(each, "pii-candidates")
-    model = boost(each.where("not cal"))
-    limit = threshold(each.where("cal"), model, precision) if model else None
-    if limit is None:
-        added = F.array().cast("array<struct<k:int,s:long,e:long>>")
-    else:
-        good = F.filter("cand", lambda c: (_margin(model, lambda i: c.f[i]) >= limit) & ~hit(c))
-        added = F.array_distinct(F.transform(good, lambda c: F.struct(c.g.alias("k"), c.s.alias("s"), c.e.alias("e"))))
-    return rows.select("doc_id", *KINDS, F.array_sort(added).alias("added"))
+    cand = F.when(some, candidates(F.col("t"))).otherwise(F.array().cast("array<struct<g:int,s:long,e:long,f:array<int>,y:int>>"))
+    rows = stored(src.select("row", "doc_id", "cal", *[v.alias(k) for k, v in spans.items()], cand.alias("cand")), "pii-rows")
+    each = rows.where(F.size("cand") > 0).select("row", "cal", F.explode("cand").alias("c")).select("row", "cal", "c.*")
+    counts = stored(each.groupBy("cal", "f", F.col("y").alias("label")).agg(F.count("*").alias("n")), "pii-candidates")
+    model, limits = fit(counts, precision)
+    if not limits:
+        return rows.select("doc_id", *KINDS, F.array().cast("array<struct<k:int,s:long,e:long>>").alias("added"))
+    least = F.coalesce(*[F.when(F.col("g") == g, F.lit(v)) for g, v in limits.items()])
+    good = each.where(F.floor(_margin(model, lambda i: F.col("f")[i]) * 10) / 10 >= least).select("row", "s", "e", F.col("g").alias("k"))
+    base = rows.where(F.size("cand") > 0).select("row", F.explode(F.concat(*KINDS)).alias("b")).select("row", "b.s", "b.e", F.lit(-1).alias("k"))
+    w = Window.partitionBy("row").orderBy("s", "k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    back = Window.partitionBy("row").orderBy(F.desc("s"), F.desc("k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_base = F.col("k") < 0
+    clear = (good.unionByName(base).withColumn("until", F.max(F.when(is_base, F.col("e"))).over(w)).withColumn("next", F.min(F.when(is_base, F.col("s"))).over(back))
+             .where("k >= 0 and coalesce(until, s) <= s and coalesce(next, e) >= e"))
+    added = clear.groupBy("row").agg(F.array_sort(F.collect_set(F.struct(F.col("k").cast("int").alias("k"), "s", "e"))).alias("added"))
+    return rows.join(added, "row", "left").select("doc_id", *KINDS, F.coalesce("added", F.array().cast("array<struct<k:int,s:long,e:long>>")).alias("added"))
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", precision: float = 0.9) -> DataFrame:
