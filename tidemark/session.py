@@ -77,10 +77,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: tuple | list = ()) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder: its lineage ends
     there, and its rows (partition numbers included) are the same for all that
     read it."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables made by :func:`written` that nothing reads any more."""
+    for df in frames:
+        jvm = df.sparkSession._jvm
+        at = jvm.org.apache.hadoop.fs.Path(df._written_at)
+        at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
