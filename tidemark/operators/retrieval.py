@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import cosine, dot, l2norm, sigmoid
+from .store import online_lookup
 
 
 def popularity(events: DataFrame, item_col: str = "movieId") -> DataFrame:
@@ -106,10 +107,12 @@ def blocked_topk(queries: DataFrame, cands: DataFrame, k: int, metric: str = "co
         .select("qid", "rank", "cid", "score")
 
 
-def neighbours(vectors: DataFrame, k: int = 10, block_size: int = 2048) -> DataFrame:
-    """Each item's k most cosine-similar other items."""
+def neighbours(vectors: DataFrame, k: int = 10, block_size: int = 2048, targets: DataFrame | None = None) -> DataFrame:
+    """Each item's k most cosine-similar other items.  With ``targets``
+    (a column ``item_id``, repeats allowed) only these items are asked for."""
     v = vectors.select(F.col("item_id").alias("qid"), "vector")
-    top = blocked_topk(v, v.withColumnRenamed("qid", "cid"), k, "cosine", exclude_self=True, block_size=block_size)
+    asked = v if targets is None else v.join(targets.select(F.col("item_id").alias("qid")), "qid", "left_semi")
+    top = blocked_topk(asked, v.withColumnRenamed("qid", "cid"), k, "cosine", exclude_self=True, block_size=block_size)
     return top.select(F.col("qid").alias("target_item"), "rank", F.col("cid").alias("rec_item"), "score")
 
 
@@ -124,6 +127,23 @@ def last_item(events: DataFrame, user_col="userId", item_col="movieId", ts_col="
     return events.groupBy(user_col).agg(F.max_by(item_col, F.struct(ts_col, item_col)).alias("last_item"))
 
 
+def recent_seen(events: DataFrame, n: int = 10, user_col="userId", item_col="movieId", ts_col="event_timestamp") -> DataFrame:
+    """(user, item) of each user's ``n`` latest events by (time, item), the
+    list that the serving step leaves out.  The rank filter cuts each task's
+    share of a user to ``n`` rows before the shuffle."""
+    w = Window.partitionBy(user_col).orderBy(F.desc(ts_col), F.desc(item_col))
+    last = events.select(user_col, item_col, ts_col).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
+    return last.select(user_col, item_col).distinct()
+
+
+def scoring_rows(cands: DataFrame, item_snapshot: DataFrame, user_snapshot: DataFrame, features, user_col="userId", item_col="movieId") -> DataFrame:
+    """Candidates with the latest features of item and user from the online
+    snapshots (``features`` from either; an unknown item or user has 0)."""
+    own = lambda snap, key: snap.select(key, *[c for c in snap.columns if c in features])
+    rows = online_lookup(online_lookup(cands, own(item_snapshot, item_col), [item_col]), own(user_snapshot, user_col), [user_col])
+    return rows.select(*cands.columns, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
+
+
 def candidate_set(users_last: DataFrame, top_pop_ids, nb: DataFrame, seen: DataFrame, cap: int = 100,
                   user_col: str = "userId", item_col: str = "movieId") -> DataFrame:
     """Popular ids (a bounded list) plus neighbours of the user's last

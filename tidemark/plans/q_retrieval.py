@@ -98,11 +98,12 @@ def similarity_matrix_top(spark, sf_dir):
     return m.select(F.col("qid").alias("item_a"), F.col("cid").alias("item_b"), r6("score").alias("cosine"))
 
 
-def _candidates(spark, sf_dir):
+def _candidates(spark, sf_dir, seen=None):
     L = interactions_L(spark, sf_dir)
     top_ids = [r["movieId"] for r in R.top_popular(R.popularity(L), K_POP).orderBy("rank").collect()]  # 20 ids
-    nb = R.neighbours(_vec(spark, sf_dir), K_NB)
-    return L, R.candidate_set(R.last_item(L), top_ids, nb, L)
+    last = R.last_item(L)
+    nb = R.neighbours(_vec(spark, sf_dir), K_NB, targets=last.select(F.col("last_item").alias("item_id")))
+    return L, R.candidate_set(last, top_ids, nb, L if seen is None else seen(L))
 
 
 _CAND_SQL = f"""LAST AS (SELECT userId, arg_max(movieId, (event_timestamp, movieId)) AS last_item FROM L GROUP BY userId),

@@ -43,7 +43,7 @@ def with_ctes(*ctes: str) -> str:
 
 
 MODULES = ["q_sources", "q_prep", "q_temporal", "q_store", "q_ids", "q_sampling",
-           "q_features", "q_retrieval", "q_metrics", "q_streaming", "q_ml"]
+           "q_features", "q_retrieval", "q_metrics", "q_streaming", "q_ml", "q_two_stage"]
 
 
 def load_all() -> dict[str, Query]:
