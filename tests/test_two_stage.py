@@ -54,3 +54,22 @@ def test_rank_candidates_by_force(spark):
     want = {(u, m): (i + 1, -p) for u, l in by_user.items() for i, (p, m) in enumerate(sorted((round(p, 12), m) for p, m in l)[:5])}
     assert w[0] > 0 and {(g.userId, g.movieId): g.rec_ranking for g in got} == {k: v[0] for k, v in want.items()}
     assert all(g.prob == pytest.approx(want[g.userId, g.movieId][1]) for g in got)
+
+
+def test_dataset_drift_flag(spark):
+    from tidemark.operators.metrics import dataset_drift
+    rows = lambda *d: spark.createDataFrame([(str(i), x) for i, x in enumerate(d)], "column string, drifted boolean")
+    flag = lambda *d: tuple(dataset_drift(rows(*d)).first())
+    assert flag(True, False) == (2, 1, 0.5, True) and flag(True, False, None) == (3, 1, 1 / 3, False) and flag() == (0, 0, 0.0, False)
+
+
+def test_temporal_split_reaches_the_scan(spark, tmp_path):
+    from tidemark.operators.prep import temporal_split
+    path = str(tmp_path / "t")
+    spark.range(200).selectExpr("id", "timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(cast(id as int), 0, 0, 0.5) AS at").write.parquet(path)
+    df = spark.read.parquet(path).selectExpr("*", "unix_seconds(cast(at as timestamp)) AS timestamp")
+    both = temporal_split(df, "timestamp", 90), temporal_split(df, "timestamp", 90, "at")
+    for a, b in zip(*both):
+        assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect())
+    assert "GreaterThanOrEqual(at" in both[1][1]._jdf.queryExecution().executedPlan().toString()
+    assert temporal_split(df.where("id < 0"), "timestamp", 90, "at")[0].count() == 0

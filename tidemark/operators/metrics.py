@@ -188,6 +188,15 @@ def jensen_shannon(ref: DataFrame, cur: DataFrame, col: str, threshold: float =
         .select(F.lit(col).alias("column"), "js", (F.col("js") >= threshold).alias("drifted"))
 
 
+def dataset_drift(columns: DataFrame, share: float = 0.5) -> DataFrame:
+    """One row for a table of (column, drifted): the number of columns, of
+    drifted ones, their share, and whether that share reaches ``share``.  A
+    column without a decision (NULL) counts as not drifted; no columns, no drift."""
+    n, d = F.count(F.lit(1)), F.count_if(F.col("drifted"))
+    return columns.agg(n.alias("n_columns"), d.alias("n_drifted"), F.coalesce(d / F.nullif(n, F.lit(0)), F.lit(0.0)).alias("drift_share")) \
+        .withColumn("dataset_drift", (F.col("n_columns") > 0) & (F.col("drift_share") >= share))
+
+
 def reference_sample(df: DataFrame, id_cols, n: int = 10000, seed=0) -> DataFrame:
     """E11 (Q18): deterministic sample of n rows, ordered by a keyed hash."""
     h = hash64(F.lit(str(seed)), *[F.col(c) for c in id_cols])

@@ -11,7 +11,7 @@ from ..operators import retrieval as R
 from ..sources.adapters import (E_SQL, EL_SQL, L_SQL, VEC_SQL, events_labeled, interactions_E, interactions_L,
                                 item_vectors, split_sql, table)
 from .q_prep import _md5_key
-from .registry import query, with_ctes
+from .registry import QUERIES, query, with_ctes
 
 POS_W = 3.0
 CUT = "2024-01-21 00:00:00"   # drift: reference = first 20 days, current = the rest
@@ -203,6 +203,15 @@ def drift_js(spark, sf_dir):
     return out.select("column", r6("js").alias("js"), "drifted")
 
 
+@query("drift_dataset", f"""SELECT count(*) AS n_columns, count(*) FILTER (drifted) AS n_drifted,
+  count(*) FILTER (drifted) / count(*) AS drift_share, count(*) FILTER (drifted) / count(*) >= 0.5 AS dataset_drift
+FROM (SELECT drifted FROM ({QUERIES['drift_ks'].sql}) UNION ALL SELECT drifted FROM ({QUERIES['drift_js'].sql}))""", "metrics")
+def drift_dataset(spark, sf_dir):
+    """The flag of the whole table, from the decisions on rating, item id and event type."""
+    each = drift_ks(spark, sf_dir).select("column", "drifted").unionByName(drift_js(spark, sf_dir).select("column", "drifted"))
+    return M.dataset_drift(each)
+
+
 @query("drift_reference_sample", f"""
 SELECT event_id, user_id, value, {_md5_key("'0'", "event_id")} AS sample_key FROM events
 WHERE ts < TIMESTAMP '{CUT}' ORDER BY sample_key, event_id LIMIT 10000""", "metrics")

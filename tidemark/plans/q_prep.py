@@ -22,7 +22,7 @@ def _md5_key(*parts: str) -> str:
 
 def _splits(spark, sf_dir):
     L = interactions_L(spark, sf_dir)
-    tr, va = P.temporal_split(L, "timestamp", VAL_DAYS)
+    tr, va = P.temporal_split(L, "timestamp", VAL_DAYS, "event_timestamp")
     return L, tr, va
 
 
