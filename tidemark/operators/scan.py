@@ -126,40 +126,45 @@ def last_rows(df: DataFrame, key: str, order, item: Column, k: int, out: str, ro
     return done.unionByName(got.select(*df.columns, F.when(F.size(every) > k, F.slice(every, -k, k)).otherwise(every).alias(out)))
 
 
+def totals_between(df: DataFrame, key: str, at: str, values: dict[str, str], widths: dict[str, int]) -> DataFrame:
+    """Adds ``<name>_<width's name>``: the total of the column ``values[name]``
+    over the rows of the same key with ``at`` in [at - width, at), an integer, as
+    the running total before ``at`` less the one before ``at - width``.  Each is a
+    growing frame of one and the same sort by key: linear, and no row is copied."""
+    def before(v, past: int):
+        w = Window.partitionBy(key).orderBy(at).rangeBetween(Window.unboundedPreceding, -1 - past)
+        return F.coalesce(F.sum(v).over(w), F.lit(0))
+
+    kind = {n: df.select(F.sum(v).alias("x")).schema["x"].dataType for n, v in values.items()}
+    return df.select("*", *[(before(v, 0) - before(v, size)).cast(kind[n]).alias(f"{n}_{w}") for n, v in values.items() for w, size in widths.items()])
+
+
 def trailing_totals(df: DataFrame, key: str, at: str, deltas: dict[str, Column], widths: dict[str, int],
                     rows: int = SEGMENT_ROWS, hot=COUNTED) -> DataFrame:
     """Adds ``<name>_<width's name>`` for every delta and width: the delta's total
     over the rows of the same key with ``at`` in [at - width, at), an integer.
 
-    Every row enters a running total at its time and leaves it after its time
-    plus the width, as a row of its own; totals are read before a time's own
-    rows.  So one growing frame serves all widths, at any number of rows in a
-    window.  Rows of hot keys are first added up by (key, time), so that a time
-    lies in one segment."""
+    Differences of running totals (:func:`totals_between`).  Rows of hot keys
+    enter a running total at their time and leave it after their time plus the
+    width, as rows of their own that are first added up by (key, time), so that
+    a time lies in one segment."""
     names = [(n, w) for n in deltas for w in widths]
-    amount = {n: F.col(f"_delta_{n}") for n in deltas}
     base = df.select("*", *[c.alias(f"_delta_{n}") for n, c in deltas.items()])
-    payload = F.struct(*[F.col(c) for c in df.columns])
 
-    def stream(rows_: DataFrame, keep: bool) -> DataFrame:
-        none = F.lit(None).cast(rows_.select(payload.alias("p")).schema["p"].dataType)
-        enter = F.struct(F.col(at).alias("_t"), *([payload.alias("_row")] if keep else []), *[amount[n].alias(f"_{n}_{w}") for n, w in names])
-        leave = [F.struct((F.col(at) + size).alias("_t"), *([none.alias("_row")] if keep else []),
+    def stream(rows_: DataFrame) -> DataFrame:
+        amount = {n: F.col(f"_delta_{n}") for n in deltas}
+        enter = F.struct(F.col(at).alias("_t"), *[amount[n].alias(f"_{n}_{w}") for n, w in names])
+        leave = [F.struct((F.col(at) + size).alias("_t"),
                           *[(-amount[n] if w == out else amount[n] * 0).cast(rows_.schema[f"_delta_{n}"].dataType).alias(f"_{n}_{w}") for n, w in names])
                  for out, size in widths.items()]
         enter = enter.cast(rows_.select(leave[0].alias("x")).schema["x"].dataType)
         return rows_.select(F.col(key).alias("_k"), F.explode(F.array(enter, *leave)).alias("_e")).select("_k", "_e.*")
 
-    def total(n, w, frame):
-        return F.coalesce(F.sum(f"_{n}_{w}").over(frame), F.lit(0)).alias(f"{n}_{w}")
-
     cold, hot = split_hot(base, key, rows, hot)
-    earlier = Window.partitionBy("_k").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
-    done = stream(cold, True).select("_row", *[total(n, w, earlier) for n, w in names]).where("_row is not null")
-    done = done.select("_row.*", *[f"{n}_{w}" for n, w in names])
+    done = totals_between(cold, key, at, {n: f"_delta_{n}" for n in deltas}, widths).select(*df.columns, *[f"{n}_{w}" for n, w in names])
     if hot is None:
         return done
-    moments = stream(hot, False).groupBy("_k", "_t").agg(*[F.sum(f"_{n}_{w}").alias(f"_{n}_{w}") for n, w in names])
+    moments = stream(hot).groupBy("_k", "_t").agg(*[F.sum(f"_{n}_{w}").alias(f"_{n}_{w}") for n, w in names])
     run = prefix(moments, ["_t"], [f"_{n}_{w}" for n, w in names], key="_k")
     run = run.select(F.col("_k"), F.col("_t"), *[F.col(f"_cum__{n}_{w}").cast(done.schema[f"{n}_{w}"].dataType).alias(f"{n}_{w}") for n, w in names])
     got = hot.select(*df.columns).join(run, F.col(key).eqNullSafe(F.col("_k")) & (F.col(at) == F.col("_t")), "left")

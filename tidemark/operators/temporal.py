@@ -4,11 +4,11 @@ Window semantics: the trailing window of an event at instant t is [t - w, t):
 lower bound inclusive, the event itself and every event of the same instant
 excluded.  An empty window gives count 0 and average 0.0.
 
-Counts and averages are running totals that events enter at their time and
-leave after the window (:func:`.scan.trailing_totals`): one growing frame for all
-windows, linear however many events a window holds, and split over many tasks
-for hot keys.  ``prefix`` is the older way, differences of cumulative totals at
-probed bounds; both give the same rows.
+Counts and averages are differences of running totals
+(:func:`.scan.totals_between`): growing frames of one sort by key, linear however
+many events a window holds.  Hot keys are split over many tasks, by totals that
+events enter at their time and leave after the window (``scan``) or by totals
+probed at the bounds (``prefix``); both give the same rows.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.columns import (PAD, bucket_list, epoch_millis, iso_micros,
                                  pad_left)
-from .scan import COUNTED, SEGMENT_ROWS, hot_keys, last_before, last_rows, trailing_totals
+from .scan import COUNTED, SEGMENT_ROWS, hot_keys, last_before, last_rows, split_hot, totals_between, trailing_totals
 
 DAY_MS = 86_400_000
 
@@ -38,14 +38,22 @@ def _exact(df: DataFrame, value: str) -> str:
     return "decimal(38,18)" if isinstance(kind, (FloatType, DoubleType)) else kind.simpleString()
 
 
-def _scan_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, rows: int, hot) -> DataFrame:
-    deltas = {"c": F.col(value).isNotNull().cast("long"), "s": F.coalesce(F.col(value), F.lit(0)).cast(_exact(df, value))}
-    got = trailing_totals(df, key, ms, deltas, {f"{d}d": d * DAY_MS for d in windows}, rows, hot)
+def _deltas(df: DataFrame, value: str) -> dict[str, Column]:
+    return {"c": F.col(value).isNotNull().cast("long"), "s": F.coalesce(F.col(value), F.lit(0)).cast(_exact(df, value))}
+
+
+def _named(got: DataFrame, columns, windows, name) -> DataFrame:
+    """Counts and averages from the totals ``c_<d>d`` and ``s_<d>d``."""
     cols = []
     for d in windows:
         c, total = F.col(f"c_{d}d"), F.col(f"s_{d}d").cast("double")
         cols += [c.cast("long").alias(name("cnt", d)), F.when(c > 0, total / c).otherwise(F.lit(0.0)).alias(name("avg", d))]
-    return got.select(*df.columns, *cols)
+    return got.select(*columns, *cols)
+
+
+def _scan_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, rows: int, hot) -> DataFrame:
+    got = trailing_totals(df, key, ms, _deltas(df, value), {f"{d}d": d * DAY_MS for d in windows}, rows, hot)
+    return _named(got, df.columns, windows, name)
 
 
 def segmented_prefix(df: DataFrame, key: str, order_cols, values, chunk_width: int = DAY_MS) -> DataFrame:
@@ -77,8 +85,19 @@ def segmented_prefix(df: DataFrame, key: str, order_cols, values, chunk_width: i
                       *[(F.col(f"_loc_{v}") + F.col(f"_off_{v}")).alias(f"_cum_{v}") for v in values])
 
 
-def _prefix_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, uniq) -> DataFrame:
-    """Trailing count/sum as C(<t) - C(<t-w) with a merged probe stream.
+def _prefix_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, uniq, rows: int = SEGMENT_ROWS, hot=COUNTED) -> DataFrame:
+    """Trailing count/sum as C(<t) - C(<t-w): both read off one sort by key, and
+    for hot keys (more than ``rows`` rows) from a merged probe stream."""
+    cold, hot = split_hot(df, key, rows, hot)
+    deltas = _deltas(df, value)
+    got = totals_between(cold.select("*", *[c.alias(f"_delta_{n}") for n, c in deltas.items()]), key, ms,
+                         {n: f"_delta_{n}" for n in deltas}, {f"{d}d": d * DAY_MS for d in windows})
+    done = _named(got, df.columns, windows, name)
+    return done if hot is None else done.unionByName(_probed_stats(hot, key, ms, value, windows, name, uniq))
+
+
+def _probed_stats(df: DataFrame, key: str, ms: str, value: str, windows, name, uniq) -> DataFrame:
+    """Trailing count/sum with a merged probe stream, for keys of any size.
 
     Each event emits one *real* row (count 1, value v) and one *probe* per
     bound (t and t-w for every window), identified by the event's unique key
@@ -122,7 +141,7 @@ def trailing_stats(df: DataFrame, key: str, ts: str, value: str, windows, name,
     if strategy in ("scan", "range"):  # range: the former name
         out = _scan_stats(base, key, "_ms", value, windows, name, rows, hot)
     elif strategy == "prefix":
-        out = _prefix_stats(base, key, "_ms", value, windows, name, uniq or [key, ts])
+        out = _prefix_stats(base, key, "_ms", value, windows, name, uniq or [key, ts], rows, hot)
     else:
         raise ValueError(strategy)
     return out.drop("_ms")

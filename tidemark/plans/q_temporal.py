@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from ..operators import temporal as T
-from ..sources.adapters import E_SQL, ITEMS_SQL, L_SQL, interactions_E, interactions_L, items_part, table
+from ..sources.adapters import E_SQL, ITEMS_SQL, L_SQL, interactions_E, interactions_L, interactions_once, items_part, table
 from .registry import query, with_ctes
 
 WINDOWS = (90, 30, 7)
 
 
 def _movie_stats(spark, sf_dir, strategy):
-    df = T.movie_rating_stats(interactions_L(spark, sf_dir), items_part(spark, sf_dir), strategy=strategy)
+    df = T.movie_rating_stats(interactions_once(spark, sf_dir), items_part(spark, sf_dir), strategy=strategy)
     avg_cols = [c for c in df.columns if "_avg_" in c]
     return df.select(*[r6(c).alias(c) if c in avg_cols else F.col(c) for c in df.columns])
 
@@ -77,8 +77,8 @@ USB AS (
   FROM US)"""
 
 
-def _user_stats(spark, sf_dir):
-    df = T.user_rating_stats(interactions_L(spark, sf_dir))
+def _user_stats(spark, sf_dir, L=None):
+    df = T.user_rating_stats(L if L is not None else interactions_once(spark, sf_dir))
     return df.withColumn("user_rating_avg_prev_rating_90d", r6("user_rating_avg_prev_rating_90d"))
 
 
@@ -130,7 +130,7 @@ def user_rating_stats_events(spark, sf_dir):
 SELECT {_KEYS}, user_rating_cnt_90d, user_rating_avg_prev_rating_90d FROM USB""", "temporal")
 def user_rating_stats_prefix(spark, sf_dir):
     """W2 via the skew-safe prefix strategy (same result as the range frame)."""
-    df = T.user_rating_stats(interactions_L(spark, sf_dir), strategy="prefix")
+    df = T.user_rating_stats(interactions_once(spark, sf_dir), strategy="prefix")
     return df.select(*_KEYS.split(", "), "user_rating_cnt_90d",
                      r6("user_rating_avg_prev_rating_90d").alias("user_rating_avg_prev_rating_90d"))
 
@@ -192,8 +192,8 @@ STAT_COLS = [f"movie_rating_{k}_{d}d" if k == "cnt" else f"movie_rating_avg_prev
              for d in WINDOWS for k in ("cnt", "avg")]
 
 
-def _movie_stats_r6(spark, sf_dir):
-    ms = T.movie_rating_stats(interactions_L(spark, sf_dir))
+def _movie_stats_r6(spark, sf_dir, L=None):
+    ms = T.movie_rating_stats(L if L is not None else interactions_once(spark, sf_dir))
     return ms.select(*[r6(c).alias(c) if "_avg_" in c else F.col(c) for c in ms.columns])
 
 
@@ -254,7 +254,7 @@ FROM L LEFT JOIN MS ON L.movieId = MS.movieId AND L.event_timestamp = MS.event_t
 LEFT JOIN UC ON L.userId = UC.userId AND L.event_timestamp = UC.event_timestamp""", "temporal")
 def feature_join(spark, sf_dir):
     """J2 (+Q5 compat): exact m:1 joins of movie and user stats on (key, instant)."""
-    L = interactions_L(spark, sf_dir).select("userId", "movieId", "event_timestamp", "rating")
-    us = _user_stats(spark, sf_dir).select("userId", "movieId", "event_timestamp", "user_rating_cnt_90d",
+    L = interactions_once(spark, sf_dir)
+    us = _user_stats(spark, sf_dir, L).select("userId", "movieId", "event_timestamp", "user_rating_cnt_90d",
                                            "user_rating_avg_prev_rating_90d", "user_rating_list_10_recent_movie")
-    return T.feature_join(L, _movie_stats_r6(spark, sf_dir), us)
+    return T.feature_join(L.select("userId", "movieId", "event_timestamp", "rating"), _movie_stats_r6(spark, sf_dir, L), us)

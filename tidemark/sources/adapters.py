@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_seconds
+from ..session import written
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -34,6 +35,12 @@ def interactions_L(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.withColumn("timestamp", epoch_seconds("event_timestamp"))
 
 
+def interactions_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L as a table in the shared folder, for queries that read it more than
+    once: the join and the aggregate that make it run once."""
+    return written(interactions_L(spark, sf_dir), "interactions")
+
+
 def interactions_E(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events", ["user_id", "props", "value", "ts"])
     return ev.select(
