@@ -8,7 +8,7 @@ from ..functions.columns import r6
 from ..operators import metrics as M
 from ..operators import prep as P
 from ..operators import retrieval as R
-from ..sources.adapters import (E_SQL, EL_SQL, L_SQL, VEC_SQL, events_labeled, interactions_E, interactions_L,
+from ..sources.adapters import (E_SQL, EL_SQL, L_SQL, VEC_SQL, events_labeled, interactions_E, interactions_L, interactions_once,
                                 item_vectors, split_sql, table)
 from .q_prep import _md5_key
 from .registry import QUERIES, query, with_ctes
@@ -100,11 +100,8 @@ EV AS (SELECT REC.*, coalesce(LB.rating, 0.0) AS rating FROM REC LEFT JOIN (
 
 
 def _rec_eval(spark, sf_dir):
-    tr, va = P.temporal_split(interactions_L(spark, sf_dir), "timestamp", 90)
-    v = item_vectors(spark, sf_dir)
-    uv = R.user_vectors(tr, v).select(F.col("userId").alias("qid"), "vector")
-    top = R.blocked_topk(uv, v.select(F.col("item_id").alias("cid"), "vector"), 10, "dot")
-    recs = top.select(F.col("qid").alias("userId"), F.col("cid").alias("movieId"), F.col("rank").alias("rec_ranking"))
+    tr, va = P.temporal_split(interactions_once(spark, sf_dir), "timestamp", 90)
+    recs = R.user_topk(tr, item_vectors(spark, sf_dir), 10).drop("score")
     return M.rec_eval_join(recs, va), va
 
 
