@@ -8,7 +8,7 @@ from ..functions.columns import csv_tokens, pad_left, r6
 from ..operators import ids as I
 from ..operators import prep as P
 from ..operators import sequences as Q
-from ..sources.adapters import E_SQL, L_SQL, interactions_E, interactions_L, split_sql, table
+from ..sources.adapters import E_SQL, L_SQL, interactions_E, interactions_L, interactions_once, split_sql, table
 from .q_temporal import _user_stats, user_stats_sql
 from .registry import query, with_ctes
 
@@ -137,7 +137,7 @@ _SEQ_SQL = """SQ AS (
 
 
 def _seqs(spark, sf_dir):
-    return Q.item_sequences(interactions_L(spark, sf_dir))
+    return Q.item_sequences(interactions_once(spark, sf_dir))
 
 
 @query("item_sequences", with_ctes(L_SQL, _SEQ_SQL) + "SELECT * FROM SQ WHERE seq_len >= 2", "ids")
