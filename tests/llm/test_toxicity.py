@@ -98,3 +98,12 @@ def test_edges(spark):
     none = T.classify(docs(spark, ODD), labels.where("false")).collect()
     assert {r.score for r in none} == {0.5} and len(none) == len(ODD)
     assert T.classify(spark.createDataFrame([], DOCS), labels).count() == 0
+
+
+def test_rounds_read_coordinates_and_no_texts(spark):
+    sets = feature_sets(["", "a", " ".join(words(5, 400))])
+    assert all(T.unpacked(T.packed(u)).tolist() == u.tolist() for u in sets)
+    rows = spark.createDataFrame([(k % 2, k / 7, float(k % 2), bytearray(T.packed(u))) for k, u in enumerate(sets * 2)],
+                                 "shard int, draw double, y double, u binary")
+    z, n = T._round(rows, np.zeros(T.DIMS), np.zeros(T.DIMS), 2, T.Rates())
+    assert np.flatnonzero(n).tolist() == sorted({int(i) for u in sets for i in u})

@@ -9,7 +9,8 @@ coordinate has its own learning rate (its sum of squared gradients ``n``) and
 its own weight, which is zero while its ``z`` is within the L1 penalty: the
 model that is sent to the tasks is the few coordinates outside it.
 
-Training goes through the labelled rows in ``rounds``.  In a round each of
+Training goes through the labelled rows in ``rounds``, over their coordinates,
+which are made once, where the texts lie.  In a round each of
 ``shards`` shards (dealt by a hash of the id, ordered by another) continues from
 the common (z, n) online, row by row; afterwards each coordinate takes the mean
 change of the shards that met it.  ``shards`` and ``DIMS`` bound all that the
@@ -79,6 +80,23 @@ def feature_sets(buf: np.ndarray, offs: np.ndarray) -> Iterator[np.ndarray]:
         yield np.append(key[a:b] % DIMS, BIAS)
 
 
+def packed(u: np.ndarray) -> bytes:
+    """Ascending coordinates as the bytes of their differences, the low bytes first."""
+    return np.diff(u, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().cumsum(dtype=np.int64)
+
+
+def _coordinates(batches):
+    """(shard, draw, y, u): the packed coordinates of the rows (shard, draw, y, text)."""
+    for b in batches:
+        for lo, hi, buf, offs in blocks(b.column(3)):
+            u = pa.array([packed(x) for x in feature_sets(buf, offs)], pa.binary())
+            yield pa.record_batch([*(b.column(i).slice(lo, hi - lo) for i in range(3)), u], names=["shard", "draw", "y", "u"])
+
+
 @dataclass(frozen=True)
 class Rates:
     """Learning rate alpha / (beta + sqrt(n)); penalties of the weights (the
@@ -139,18 +157,16 @@ def _round(rows: DataFrame, z: np.ndarray, n: np.ndarray, shards: int, rates: Ra
                                    names=["i", "shard", "dz", "dn"])
 
         for b in batches:
-            own, y = b.column(0).to_numpy(), b.column(2).to_numpy()
-            for lo, _, buf, offs in blocks(b.column(1)):
-                for i, u in enumerate(feature_sets(buf, offs), lo):
-                    if own[i] != shard:
-                        if shard is not None:
-                            yield done()
-                        shard, zs, ns = own[i], z0.copy(), n0.copy()
-                    rates.learn(zs, ns, u, y[i])
+            for own, y, u in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                if own != shard:
+                    if shard is not None:
+                        yield done()
+                    shard, zs, ns = own, z0.copy(), n0.copy()
+                rates.learn(zs, ns, unpacked(u.as_buffer()), y)
         if shard is not None:
             yield done()
 
-    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "draw", "text").select("shard", "text", "y")
+    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "draw", "u", "y").select("shard", "y", "u")
     parts = F.sort_array(F.collect_list(F.struct("shard", "dz", "dn")))  # at most one entry of each shard
     mean = lambda c: F.aggregate(F.col("p"), F.lit(0.0), lambda a, x: a + x[c]) / F.size("p")
     got = (dealt.mapInArrow(run, "i long, shard int, dz double, dn double").groupBy("i").agg(parts.alias("p"))
@@ -177,9 +193,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, *, max_labelled: int = 5
     if count > max_labelled:
         lab = lab.where(draw < max_labelled / count)
     src = docs.select(F.col("doc_id").alias("_d"), F.col("text").cast("string").alias("text"))
-    rows = stored(src.join(F.broadcast(lab), F.col("_d") == F.col("_k"))
-                  .select(F.pmod(F.xxhash64(F.lit(seed + 1), "_k"), F.lit(shards)).cast("int").alias("shard"), draw.alias("draw"), "text",
-                          F.col("_y").alias("y")), "toxicity-rows")
+    rows = src.join(F.broadcast(lab), F.col("_d") == F.col("_k")).select(
+        F.pmod(F.xxhash64(F.lit(seed + 1), "_k"), F.lit(shards)).cast("int").alias("shard"), draw.alias("draw"), F.col("_y").alias("y"), "text")
+    rows = stored(rows.mapInArrow(_coordinates, "shard int, draw double, y double, u binary"), "toxicity-rows")
     if not rows.limit(1).count():
         discard(rows)
         return None
