@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -115,6 +115,16 @@ def one_row(rows: DataFrame, key: str = "movieId", ts: str = "event_timestamp",
     return rows.groupBy(key).agg(pick(F.struct(*rest), F.struct(ts, *[c for c in rest if c != ts])).alias("_v")).select(key, "_v.*")
 
 
+def end_rows(rows: DataFrame, early: Column, key: str = "movieId", ts: str = "event_timestamp") -> DataFrame:
+    """:func:`one_row` of two periods in one pass: each item's first row where
+    ``early`` holds and its last row where it doesn't, with ``early``."""
+    rest = [c for c in rows.columns if c != key]
+    row, at = F.struct(*rest), F.struct(ts, *[c for c in rest if c != ts])
+    ends = rows.groupBy(key).agg(F.min_by(row, F.when(early, at)).alias("_first"), F.max_by(row, F.when(~early, at)).alias("_last"))
+    both = F.array(F.struct(F.lit(True).alias("early"), F.col("_first").alias("row")), F.struct(F.lit(False).alias("early"), F.col("_last").alias("row")))
+    return ends.select(key, F.explode(both).alias("_e")).where("_e.row is not null").select(key, "_e.early", "_e.row.*")
+
+
 @dataclass(frozen=True)
 class ItemPipeline:
     """M8/M9 as fitted tables: title vocabulary with idf, moments of the

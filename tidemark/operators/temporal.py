@@ -26,7 +26,10 @@ DAY_MS = 86_400_000
 
 def dedup_last_per_instant(df: DataFrame, key: str, ts: str, tie: str, cols) -> DataFrame:
     """Q1: one row per (key, ts); the row with the greatest ``tie`` wins.
-    Hash aggregate with ``max_by`` (partial aggregation map-side, no sort)."""
+    Hash aggregate with ``max_by`` (partial aggregation map-side); one column is
+    kept as it is, as a struct would be sorted instead."""
+    if len(cols) == 1:
+        return df.groupBy(key, ts).agg(F.max_by(cols[0], tie).alias(cols[0]))
     packed = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(tie)).alias("_v")
     return df.groupBy(key, ts).agg(packed).select(key, ts, "_v.*")
 
@@ -149,15 +152,22 @@ def trailing_stats(df: DataFrame, key: str, ts: str, value: str, windows, name,
 
 def movie_rating_stats(events: DataFrame, items: DataFrame | None = None, item_col: str = "movieId",
                        user_col: str = "userId", ts_col: str = "event_timestamp", rating_col: str = "rating",
-                       windows=(90, 30, 7), strategy: str = "scan", rows: int = SEGMENT_ROWS) -> DataFrame:
+                       windows=(90, 30, 7), strategy: str = "scan", rows: int = SEGMENT_ROWS, hot=COUNTED) -> DataFrame:
     """Per (item, instant) trailing counts/averages over 90/30/7 days.
 
     Dedups to one row per (item, instant) first (greatest user wins, Q1), so
-    counts are of distinct instants.  Item metadata is left-joined last, on
-    the reduced table."""
-    base = dedup_last_per_instant(events, item_col, ts_col, user_col, [rating_col])
+    counts are of distinct instants.  Hot items are counted in ``events``, which
+    have at least as many rows, so that the dedup is made once.  Item metadata is
+    left-joined last, on the reduced table."""
+    if isinstance(hot, str):
+        hot = hot_keys(events, item_col, rows)
+    # Dealt by item alone, rows stay where they are for the dedup and the windows.
+    cold, many = split_hot(events.select(item_col, ts_col, user_col, rating_col), item_col, rows, hot)
+    base = dedup_last_per_instant(cold.repartition(item_col), item_col, ts_col, user_col, [rating_col])
+    if many is not None:
+        base = base.unionByName(dedup_last_per_instant(many, item_col, ts_col, user_col, [rating_col]))
     name = lambda kind, d: (f"movie_rating_cnt_{d}d" if kind == "cnt" else f"movie_rating_avg_prev_rating_{d}d")
-    stats = trailing_stats(base, item_col, ts_col, rating_col, windows, name, strategy, rows=rows).drop(rating_col)
+    stats = trailing_stats(base, item_col, ts_col, rating_col, windows, name, strategy, rows=rows, hot=hot).drop(rating_col)
     if items is not None:
         stats = stats.join(items.select(item_col, "title", "genres"), item_col, "left")
     order = [item_col, ts_col] + (["title", "genres"] if items is not None else [])
@@ -211,8 +221,10 @@ def asof_backward(left: DataFrame, right: DataFrame, by: str, on: str, right_on:
 
     Union of both sides with a side flag (right sorts first at equal time) and
     the last right row carried forward: one exchange by key, no range join, no
-    pairs; keys with more than ``rows`` rows are scanned in segments.  Right
-    columns must not clash with left columns.
+    pairs; keys with more than ``rows`` rows are scanned in segments (``hot``: what
+    :func:`.scan.hot_keys` gave for rows that hold those of both sides; else both
+    sides are computed once more to be counted).  Right columns must not clash
+    with left columns.
     """
     right_on = right_on or on
     rcols = [c for c in right.columns if c not in (by, right_on)]
@@ -220,6 +232,10 @@ def asof_backward(left: DataFrame, right: DataFrame, by: str, on: str, right_on:
     clash = set(rcols) & set(lcols)
     if clash:
         raise ValueError(f"column clash: {sorted(clash)}")
+    if isinstance(hot, str):
+        hot = hot_keys(right.select(F.col(by)).unionByName(left.select(F.col(by))), by, rows)
+    if hot is None:  # both sides are dealt by key alone, so that their union needs no exchange
+        left, right = left.repartition(by), right.repartition(by)
     payload = F.struct(*[F.col(c) for c in rcols], F.col(right_on).alias("__rts"))
     r = right.select(F.col(by), F.col(right_on).alias("__t"), F.lit(0).alias("__side"),
                      payload.alias("__r"), F.lit(None).cast(left.select(F.struct(*lcols).alias("x")).schema[0].dataType).alias("__l"))
@@ -234,11 +250,11 @@ def asof_backward(left: DataFrame, right: DataFrame, by: str, on: str, right_on:
 
 
 def point_in_time_join(left: DataFrame, right: DataFrame, by: str, on: str, ttl_days: float,
-                       right_on: str | None = None) -> DataFrame:
+                       right_on: str | None = None, hot=COUNTED) -> DataFrame:
     """As-of join whose match must also be no older than ``ttl`` (else all
     right features are NULL)."""
     rcols = [c for c in right.columns if c not in (by, right_on or on)]
-    j = asof_backward(left, right, by, on, right_on, keep_right_ts="__rts")
+    j = asof_backward(left, right, by, on, right_on, keep_right_ts="__rts", hot=hot)
     fresh = (F.col("__rts").isNotNull() &
              (F.col(on).cast("timestamp").cast("double") - F.col("__rts").cast("timestamp").cast("double")
               <= F.lit(ttl_days * 86400.0)))
@@ -257,19 +273,31 @@ def collapse_user_stats(user_stats: DataFrame, user_col: str = "userId", ts_col:
     return user_stats.groupBy(user_col, ts_col).agg(packed.alias("_v")).select(user_col, ts_col, "_v.*")
 
 
+def instant_join(left: DataFrame, right: DataFrame, by: str, on: str, rows: int = SEGMENT_ROWS, hot=COUNTED) -> DataFrame:
+    """The left join on (by, on) to a right side that is unique there, as an as-of
+    join whose match must be of the same instant: a right side that already lies
+    by ``by`` is not shuffled, however wide it is.  Null keys match nothing."""
+    rcols = [c for c in right.columns if c not in (by, on)]
+    j = asof_backward(left, right, by, on, keep_right_ts="__rts", rows=rows, hot=hot)
+    same = F.col(by).isNotNull() & (F.col("__rts") == F.col(on))
+    return j.select(*left.columns, *[F.when(same, F.col(c)).alias(c) for c in rcols])
+
+
 def feature_join(events: DataFrame, movie_stats: DataFrame, user_stats: DataFrame,
                  user_col: str = "userId", item_col: str = "movieId", ts_col: str = "event_timestamp",
-                 mode: str = "compat") -> DataFrame:
+                 mode: str = "compat", rows: int = SEGMENT_ROWS) -> DataFrame:
     """Exact point-in-time m:1 joins on (item, instant) and (user, instant).
-    Both right sides are unique on their keys (J3 holds by construction)."""
+    Both right sides are unique on their keys (J3 holds by construction) and have
+    no more rows of a key than the events, so that hot keys are counted there."""
     us = collapse_user_stats(user_stats, user_col, ts_col, item_col, mode).drop(item_col)
-    return (events.join(movie_stats, [item_col, ts_col], "left")
-                  .join(us, [user_col, ts_col], "left"))
+    hot = {k: hot_keys(events, k, rows // 2) for k in (item_col, user_col)}
+    got = instant_join(events, movie_stats, item_col, ts_col, rows, hot[item_col])
+    return instant_join(got, us, user_col, ts_col, rows, hot[user_col])
 
 
-def asof_dedup_fill(probes: DataFrame, right: DataFrame, by: str, on: str, fill_cols) -> DataFrame:
+def asof_dedup_fill(probes: DataFrame, right: DataFrame, by: str, on: str, fill_cols, hot=COUNTED) -> DataFrame:
     """As-of on the distinct probe keys only, join the result back to every
     probe row (m:1) and fill unmatched numeric features with 0."""
     keys = probes.select(by, on).dropDuplicates()
-    got = asof_backward(keys, right, by, on)
+    got = asof_backward(keys, right, by, on, hot=hot)
     return probes.join(got, [by, on], "left").na.fill(0, subset=list(fill_cols))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from ..operators import temporal as T
+from ..operators.scan import COUNTED, SEGMENT_ROWS, hot_keys
 from ..sources.adapters import E_SQL, ITEMS_SQL, L_SQL, interactions_E, interactions_L, interactions_once, items_part, table
 from .registry import query, with_ctes
 
@@ -192,8 +193,8 @@ STAT_COLS = [f"movie_rating_{k}_{d}d" if k == "cnt" else f"movie_rating_avg_prev
              for d in WINDOWS for k in ("cnt", "avg")]
 
 
-def _movie_stats_r6(spark, sf_dir, L=None):
-    ms = T.movie_rating_stats(L if L is not None else interactions_once(spark, sf_dir))
+def _movie_stats_r6(spark, sf_dir, L=None, hot=COUNTED):
+    ms = T.movie_rating_stats(L if L is not None else interactions_once(spark, sf_dir), hot=hot)
     return ms.select(*[r6(c).alias(c) if "_avg_" in c else F.col(c) for c in ms.columns])
 
 
@@ -206,6 +207,15 @@ def _order_probes(spark, sf_dir):
         F.col("o_orderdate").cast("timestamp_ntz").alias("event_timestamp"))
 
 
+def _stats_and_hot(spark, sf_dir):
+    """The stats, and the items with many interactions and line items: neither the
+    stats nor the probes have more rows of an item, so one count serves both."""
+    L = interactions_once(spark, sf_dir)
+    asked = table(spark, sf_dir, "lineitem", ["l_partkey"]).select(F.col("l_partkey").cast("long").alias("movieId"))
+    hot = hot_keys(L.select("movieId").unionByName(asked), "movieId", SEGMENT_ROWS)
+    return _movie_stats_r6(spark, sf_dir, L, hot), hot
+
+
 _PROBES_SQL = """PR AS (
   SELECT li.l_orderkey, li.l_linenumber, li.l_partkey::BIGINT AS movieId, o.o_orderdate AS event_timestamp
   FROM lineitem li JOIN orders o ON li.l_orderkey = o.o_orderkey)"""
@@ -216,9 +226,9 @@ SELECT PR.*, MS.event_timestamp AS stats_ts, {', '.join('MS.' + c for c in STAT_
 FROM PR ASOF LEFT JOIN MS ON PR.movieId = MS.movieId AND PR.event_timestamp >= MS.event_timestamp""", "temporal")
 def asof_backward(spark, sf_dir):
     """Part stats as of each order date (latest at-or-before; left join)."""
-    ms = _movie_stats_r6(spark, sf_dir)
+    ms, hot = _stats_and_hot(spark, sf_dir)
     return T.asof_backward(_order_probes(spark, sf_dir), ms, "movieId", "event_timestamp",
-                           keep_right_ts="stats_ts")
+                           keep_right_ts="stats_ts", hot=hot)
 
 
 @query("point_in_time_join", with_ctes(L_SQL, _movie_stats_cte(), _PROBES_SQL) + f"""
@@ -227,8 +237,8 @@ SELECT PR.*, {', '.join(f"CASE WHEN MS.event_timestamp >= PR.event_timestamp - I
 FROM PR ASOF LEFT JOIN MS ON PR.movieId = MS.movieId AND PR.event_timestamp >= MS.event_timestamp""", "temporal")
 def point_in_time_join(spark, sf_dir):
     """As-of with a 60-day TTL: matches older than the TTL give NULL features."""
-    return T.point_in_time_join(_order_probes(spark, sf_dir), _movie_stats_r6(spark, sf_dir),
-                                "movieId", "event_timestamp", 60)
+    ms, hot = _stats_and_hot(spark, sf_dir)
+    return T.point_in_time_join(_order_probes(spark, sf_dir), ms, "movieId", "event_timestamp", 60, hot=hot)
 
 
 @query("asof_dedup_fill", with_ctes(L_SQL, _movie_stats_cte(), _PROBES_SQL, """K AS (
@@ -239,8 +249,8 @@ SELECT PR.*, {', '.join(f'coalesce(KA.{c}, 0) AS {c}' for c in STAT_COLS)}
 FROM PR LEFT JOIN KA ON PR.movieId = KA.movieId AND PR.event_timestamp = KA.event_timestamp""", "temporal")
 def asof_dedup_fill(spark, sf_dir):
     """Distinct probe keys -> as-of -> join back -> cold items filled with 0."""
-    return T.asof_dedup_fill(_order_probes(spark, sf_dir), _movie_stats_r6(spark, sf_dir),
-                             "movieId", "event_timestamp", STAT_COLS)
+    ms, hot = _stats_and_hot(spark, sf_dir)
+    return T.asof_dedup_fill(_order_probes(spark, sf_dir), ms, "movieId", "event_timestamp", STAT_COLS, hot=hot)
 
 
 @query("feature_join", with_ctes(L_SQL, _movie_stats_cte(), user_stats_sql(), """UC AS (
