@@ -234,6 +234,13 @@ def list_dirs(spark: SparkSession, path: str) -> list:
     return [st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str, suffix: str = "") -> list:
+    """Files directly in ``path`` whose name ends in ``suffix``, as :func:`list_dirs`."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f for f in (st.getPath().toString() for st in fs.listStatus(p) if st.isFile()) if f.endswith(suffix)]
+
+
 def _committed(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
