@@ -44,3 +44,15 @@ def test_items_under_five_words_are_whole_texts(spark):
     got = {(x.doc_id, x.item_id, x.containment) for x in decontaminate.report(docs(spark, rows), bench).collect()}
     assert got == {(1, 1, 1.0), (2, 2, 1.0)}
     assert sorted(x.doc_id for x in decontaminate.clean(docs(spark, rows).withColumn("_hit", F.lit(1)), bench).collect()) == [3, 4, 5, 6]
+
+
+def test_passage_bands_are_counted_by_hash(spark, monkeypatch):
+    """op5: bands are cut to those of several texts by two numbers a band, not by
+    sorted structs of every paragraph."""
+    from tidemark.llm import passages as P
+    plans, real = {}, P.stored
+    monkeypatch.setattr(P, "stored", lambda df, name: (plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()), real(df, name))[1])
+    line = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(1, line), (2, "x " + line), (3, "y")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in P.repeats(rows).collect()) == [1, 2]
+    assert "SortAggregate" not in plans["passage-met"] and "HashAggregate" in plans["passage-met"]
