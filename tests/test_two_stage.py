@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import ml as ML
 from tidemark.operators import retrieval as R
@@ -73,3 +74,28 @@ def test_temporal_split_reaches_the_scan(spark, tmp_path):
         assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect())
     assert "GreaterThanOrEqual(at" in both[1][1]._jdf.queryExecution().executedPlan().toString()
     assert temporal_split(df.where("id < 0"), "timestamp", 90, "at")[0].count() == 0
+
+
+def test_ranking_makes_interactions_and_stats_once(spark, monkeypatch):
+    from conftest import SF
+    from tidemark.operators import temporal as T
+    from tidemark.plans import q_two_stage
+    from tidemark.sources import adapters
+    made = defaultdict(int)
+    for module, name in ((adapters, "interactions_L"), (T, "movie_rating_stats")):
+        def counted(*a, _of=getattr(module, name), _name=name, **kw):
+            made[_name] += 1
+            return _of(*a, **kw)
+        monkeypatch.setattr(module, name, counted)
+    got = q_two_stage.two_stage_ranked(spark, SF)
+    assert made == {"interactions_L": 1, "movie_rating_stats": 1}
+    users = got.groupBy("userId").agg(F.count(F.lit(1)).alias("n"), F.max("rec_ranking").alias("last")).collect()
+    assert users and all(u.n == u.last <= 10 for u in users)
+
+
+def test_written_shuffle_is_the_same_order(spark):
+    from tidemark.operators.prep import hash_shuffle
+    rows = spark.range(500).selectExpr("id", "id % 7 AS x")
+    a, b = (hash_shuffle(rows, 42, ["x", "id"], once=once) for once in (False, True))
+    assert a.collect() == b.collect() and a.columns == b.columns
+    assert "shuffle-keys" in "".join(b.inputFiles())
