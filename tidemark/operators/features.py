@@ -164,6 +164,20 @@ class ItemPipeline:
         """(movieId, feature, value, absent_value) of rows, seen or not."""
         return apply_moments(self._features(rows, self.vocab, self.inner, self.stats), self.outer)
 
+    def item_entries(self, items: DataFrame) -> DataFrame:
+        """(movieId, feature, value): title and genre features of items with
+        movieId, title, genres, scaled but not centred, so that absent entries
+        stay 0.  A linear model's intercept takes up the centres."""
+        long = assemble_sparse([("title", transform_tfidf(items, self.vocab, "movieId", "title"), "movieId", "term", "tfidf"),
+                                ("genre", genre_counts(items, "movieId", "genres"), "movieId", "genre", "count")])
+        return long.join(self.outer, "feature").select("movieId", "feature", (F.col("value") / F.col("std")).alias("value"))
+
+    def scaled_stats(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with their aggregates scaled as the fit says."""
+        std = {r["feature"]: r["std"] for r in self.outer.where(F.col("feature").startswith("agg:")).collect()}
+        out = transform_scaler(rows, self.inner, self.stats)
+        return out.withColumns({c: F.col(c) / F.lit(std.get(f"agg:{c}", 1.0)) for c in self.stats})
+
 
 def catalog(id_map: DataFrame, first_meta: DataFrame, item_col: str = "movieId") -> DataFrame:
     """Every index 0..n (n = the padding/unknown row) with first-seen
